@@ -91,3 +91,11 @@ def status_name(rank: Column, missing: str = UNKNOWN) -> Column:
 
 def traffic_light(red: Column, yellow: Column) -> Column:
     return F.when(red, RED).when(yellow, YELLOW).otherwise(GREEN)
+
+
+def sorted_by(records: Column, field: str) -> Column:
+    """Sort an array of records by one field; the others need not be orderable."""
+    return F.array_sort(
+        records,
+        lambda a, b: F.when(a[field] < b[field], -1).when(a[field] > b[field], 1).otherwise(0),
+    )

@@ -65,8 +65,8 @@ def clean_elements(
 def to_stored(elements: DataFrame, bounds: SalePriceBounds = SalePriceBounds()) -> DataFrame:
     """Clean elements in the layout of the silver table.
 
-    The partition takes the operation of the page; the operation the listing
-    states itself is kept beside it.
+    The partition takes the operation of the page; that of the listing itself
+    is kept beside it.
     """
     cleaned = clean_elements(
         elements, bounds, order=(*ORDINAL_COLUMNS, "page_operation")

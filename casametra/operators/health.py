@@ -14,7 +14,6 @@ from pyspark.sql import Window
 
 from casametra.functions.columns import (
     GREEN,
-    YELLOW,
     month_key,
     month_start,
     severity,
@@ -151,9 +150,8 @@ def invocation_series(recent: DataFrame) -> DataFrame:
 def _complete_months(now: Column, months: int) -> Column:
     """Starts of the last complete calendar months, oldest first."""
     this_month = month_start(now)
-    return F.transform(
-        F.sequence(F.lit(-months), F.lit(-1)), lambda i: F.add_months(this_month, i)
-    )
+    first, last = F.add_months(this_month, -months), F.add_months(this_month, -1)
+    return F.sequence(first, last, F.make_ym_interval(F.lit(0), F.lit(1)))
 
 
 def _in_complete_months(day: Column, now: Column, months: int) -> Column:
@@ -351,7 +349,6 @@ def stage_statuses(
 
 
 __all__ = [
-    "YELLOW",
     "api_quota",
     "cost_by_month_and_service",
     "cost_history",

@@ -10,7 +10,14 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casametra.functions.columns import RED, SEVERITY, iso_timestamp, severity, status_name
+from casametra.functions.columns import (
+    RED,
+    SEVERITY,
+    iso_timestamp,
+    severity,
+    sorted_by,
+    status_name,
+)
 from casametra.operators import health
 from casametra.params import HEALTH_SCHEMA_VERSION, HealthParams
 
@@ -62,7 +69,10 @@ def _quota_check(monthly: DataFrame, params: HealthParams) -> DataFrame:
     return per_set.agg(
         status_name(F.min(severity(F.col("status")))).alias("status"),
         F.map_from_entries(
-            F.array_sort(F.collect_list(F.struct("credential_set", detail.alias("detail"))))
+            sorted_by(
+                F.collect_list(F.struct("credential_set", detail.alias("detail"))),
+                "credential_set",
+            )
         ).alias("credential_sets"),
     ).select(
         "status",
@@ -76,12 +86,7 @@ def _quota_check(monthly: DataFrame, params: HealthParams) -> DataFrame:
 def _cost_check(costs: DataFrame, now: Column, params: HealthParams) -> DataFrame:
     history = health.cost_history(costs, now, params)
     by_month = history.agg(
-        F.array_sort(
-            F.collect_list(F.struct("month", "services")),
-            lambda a, b: F.when(a["month"] < b["month"], -1)
-            .when(a["month"] > b["month"], 1)
-            .otherwise(0),
-        )
+        sorted_by(F.collect_list(F.struct("month", "services")), "month")
     )
     return health.month_to_date_cost(costs, now, params).select(
         "status",

@@ -51,9 +51,9 @@ SILVER_COLUMNS = (*ELEMENT_SCHEMA.fieldNames(), "snapshot_date")
 #: Where a row stood in the raw pages; the order behind "first" and "last".
 ORDINAL_COLUMNS = ("_page_file", "_page_pos")
 
-#: The operation a listing states for itself, when it states one. The partition
-#: column ``operation`` is that of the page, so that the written-partition guard
-#: and the page names always speak of the same snapshot.
+#: The operation of the listing itself: the one it states, else that of its page.
+#: The partition column ``operation`` is always that of the page, so that the
+#: written-partition guard and the page names speak of the same snapshot.
 OWN_OPERATION = "_listing_operation"
 
 _INTEGER_IN_SILVER = {"rooms", "bathrooms"}

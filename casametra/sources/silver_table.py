@@ -46,8 +46,8 @@ def read_history(spark: SparkSession, root: str) -> DataFrame:
     """Lazy scan of the whole history; empty while nothing has been written.
 
     Raises ``ValueError`` when the stored table lacks ``operation`` or
-    ``snapshot_date``. The operation a listing states for itself wins over the
-    operation of the page it came from.
+    ``snapshot_date``. The operation of the listing itself wins over that of the
+    page it came from.
     """
     stored = _stored_columns(spark, root)
     if stored is None:

@@ -174,7 +174,7 @@ def silver_from_pages(spark: SparkSession, sf: str) -> DataFrame:
     return with_iso(stored).groupBy("operation", "snapshot_date").agg(
         F.count("*").alias("n_rows"),
         F.sum("_page_pos").alias("sum_pos"),
-        F.count("_listing_operation").alias("n_operation"),
+        F.count_if(F.col("_listing_operation") == F.col("operation")).alias("n_operation"),
     )
 
 

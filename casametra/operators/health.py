@@ -131,7 +131,7 @@ def execution_duration(recent: DataFrame, params: HealthParams = _DEFAULTS) -> D
 def invocation_series(recent: DataFrame) -> DataFrame:
     """The recent invocations of each function as one array, oldest first."""
     point = F.struct("ts", "recency", "succeeded", "duration_seconds")
-    ordered = F.array_sort(F.collect_list(point))
+    ordered = F.sort_array(F.collect_list(point))
     return recent.groupBy("function_name").agg(
         F.transform(
             ordered,
@@ -212,7 +212,7 @@ def _credential_label(params: HealthParams) -> Column:
 def api_quota(monthly: DataFrame, params: HealthParams = _DEFAULTS) -> DataFrame:
     """Status of each credential set by its busiest complete month."""
     busiest = F.max("requests")
-    months = F.array_sort(F.collect_list(F.struct("month", "requests")))
+    months = F.sort_array(F.collect_list(F.struct("month", "requests")))
     return monthly.groupBy("credential_set").agg(
         traffic_light(
             busiest >= params.quota_red_requests, busiest >= params.quota_yellow_requests
@@ -225,7 +225,7 @@ def api_quota(monthly: DataFrame, params: HealthParams = _DEFAULTS) -> DataFrame
 
 def quota_series(quota: DataFrame) -> DataFrame:
     """Months and values of each credential set, months ascending."""
-    entries = F.array_sort(F.map_entries("monthly_requests"))
+    entries = F.sort_array(F.map_entries("monthly_requests"))
     return quota.select(
         "credential_set",
         "label",
@@ -257,7 +257,7 @@ def month_to_date_cost(
     month = costs.filter((F.col("day") >= start) & (F.col("day") < end)).agg(
         total(~excluded).alias("included"),
         total(excluded).alias("excluded"),
-        F.array_sort(F.collect_set(F.when(excluded, F.col("service")))).alias(
+        F.sort_array(F.collect_set(F.when(excluded, F.col("service")))).alias(
             "excluded_services"
         ),
     )
@@ -302,7 +302,7 @@ def cost_history(
     )
     return every_month.groupBy("month").agg(
         F.map_from_entries(
-            F.array_sort(F.collect_list(F.when(F.col("service").isNotNull(), entry)))
+            F.sort_array(F.collect_list(F.when(F.col("service").isNotNull(), entry)))
         ).alias("services")
     )
 

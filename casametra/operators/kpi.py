@@ -86,7 +86,7 @@ def series(
 
     A series has one point per snapshot date, so its array stays small.
     """
-    points = F.array_sort(F.collect_list(F.struct(F.col(x).alias("x"), F.col(y).alias("y"))))
+    points = F.sort_array(F.collect_list(F.struct(F.col(x).alias("x"), F.col(y).alias("y"))))
     return dataset.groupBy(*keys).agg(points.alias("points"))
 
 
@@ -174,7 +174,7 @@ def _bars(dataset: DataFrame, position: Column, label: Column) -> DataFrame:
     point = F.struct(
         position.alias("position"), label.alias("x"), F.col("count_listings").alias("y")
     )
-    ordered = F.array_sort(F.collect_list(point))
+    ordered = F.sort_array(F.collect_list(point))
     return dataset.groupBy("operation").agg(
         F.transform(
             ordered, lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))

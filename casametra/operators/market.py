@@ -6,7 +6,7 @@ up to the finest grain, and give the same result on both.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -134,12 +134,18 @@ def price_counts(listings: DataFrame, in_window: Column | None = None) -> DataFr
     )
 
 
-def boxplot(counts: DataFrame, min_count: int = 1, n: str = "n") -> DataFrame:
+def boxplot(
+    counts: DataFrame,
+    min_count: int = 1,
+    n: str = "n",
+    keep: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Five-number summary of price per area for each neighborhood.
 
-    Groups with fewer than ``min_count`` prices are left out.
+    Groups with fewer than ``min_count`` prices are left out. For ``keep`` see
+    ``quantiles_of_counts``.
     """
-    summary = quantiles_of_counts(counts, BOX_KEYS, "priceByArea", QUARTILES, n)
+    summary = quantiles_of_counts(counts, BOX_KEYS, "priceByArea", QUARTILES, n, keep)
     return summary if min_count <= 1 else summary.filter(F.col("count") >= min_count)
 
 

@@ -10,7 +10,7 @@ then put in order. No task ever sees more than one bucket of a group.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,11 +43,16 @@ def quantiles_of_counts(
     value: str,
     quantiles: dict[str, float],
     n: str = "n",
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """``count``, ``min``, ``max`` and the named quantiles of counted values.
 
     Quantiles interpolate linearly between the two nearest ranks. ``keys`` are
     not null; groups without values give no row.
+
+    ``keep`` may store the list of wanted buckets as a table. Its size is then
+    known when the join is planned: a short list is broadcast and the counts
+    are not shuffled again, a long one is joined by a shuffle.
     """
     counted = counts.filter(F.col(n) > 0).select(
         *keys,
@@ -90,6 +95,8 @@ def quantiles_of_counts(
     wanted = buckets.filter(
         any_rank_between(F.col("_before"), F.col("_before") + F.col("_bn") - 1)
     ).drop("_bn")
+    if keep is not None:
+        wanted = keep(wanted)
 
     up_to_value = (
         Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from casametra.operators import market
@@ -33,6 +35,7 @@ class TrendInputs:
     cells: DataFrame
     price_counts: DataFrame
     params: MarketParams
+    keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df
 
 
 @dataclass(frozen=True)
@@ -57,9 +60,14 @@ RELEVANT: Mapping[str, TrendDataset] = {
     "rent_vs_sale_ratio_time_series": lambda t: market.rent_vs_sale_ratio_series(
         t.cells, t.params.min_count
     ),
-    "boxplot_by_neighborhood": lambda t: market.boxplot(t.price_counts),
+    "boxplot_by_neighborhood": lambda t: market.boxplot(
+        t.price_counts, keep=lambda df: t.keep(df, "buckets")
+    ),
     "boxplot_by_neighborhood_last_3m": lambda t: market.boxplot(
-        t.price_counts, t.params.min_count, n="n_recent"
+        t.price_counts,
+        t.params.min_count,
+        n="n_recent",
+        keep=lambda df: t.keep(df, "recent_buckets"),
     ),
 }
 
@@ -81,8 +89,7 @@ DATA_BASIS: Mapping[str, BasisDataset] = {
 }
 
 
-def _keep(df: DataFrame, name: str, stage: Staging | None) -> DataFrame:
-    return df if stage is None else stage.table(df, name)
+_TREND_COLUMNS = (*CELL_KEYS, "propertyCode", "priceByArea", "size", "price")
 
 
 def trend_inputs(
@@ -98,84 +105,114 @@ def trend_inputs(
     With ``stage`` the three inputs become tables, so that no dataset repeats
     the dedup. Only the columns the datasets need take part in its shuffle.
     """
-    slim = listings.select(
-        *CELL_KEYS, "propertyCode", "priceByArea", "size", "price", *_not_in(order, CELL_KEYS)
-    )
-    deduped = _keep(first_per_snapshot(slim, order).drop(*_not_in(order, CELL_KEYS)), f"{name}/listings", stage)
-    cells = _keep(roll_up(unit_cells(deduped), CELL_KEYS), f"{name}/cells", stage)
+    order_only = [c for c in order if c not in _TREND_COLUMNS]
+
+    def keep(df: DataFrame, part: str) -> DataFrame:
+        return df if stage is None else stage.table(df, f"{name}/{part}")
+
+    slim = listings.select(*_TREND_COLUMNS, *order_only)
+    deduped = keep(first_per_snapshot(slim, order).drop(*order_only), "listings")
+    cells = keep(roll_up(unit_cells(deduped), CELL_KEYS), "cells")
     latest = latest_date(cells) if anchor is None else anchor
     in_last_months = F.col("snapshot_date") >= F.add_months(latest, -params.window_months)
-    counts = market.price_counts(deduped, in_last_months)
-    return TrendInputs(deduped, cells, _keep(counts, f"{name}/price_counts", stage), params)
+    counts = keep(market.price_counts(deduped, in_last_months), "price_counts")
+    return TrendInputs(deduped, cells, counts, params, keep)
 
 
-_TREND_MEASURES = ("propertyCode", "priceByArea", "size", "price")
+def _latest_rows(
+    listings: DataFrame,
+    columns: Sequence[str],
+    order: Sequence[str],
+    stage: Staging | None,
+    name: str,
+) -> DataFrame:
+    """One row per property, with only the columns the datasets need."""
+    keys = ("operation", "propertyCode", "snapshot_date")
+    needed = list(dict.fromkeys((*keys, *columns, *order)))
+    rows = latest_per_property(listings.select(*needed), order).select("operation", *columns)
+    return rows if stage is None else stage.table(rows, name)
 
 
-def _not_in(order: Sequence[str], columns: Sequence[str]) -> list[str]:
-    return [c for c in order if c not in (*columns, *_TREND_MEASURES)]
+@dataclass(frozen=True)
+class GoldInputs:
+    everyone: TrendInputs
+    comparable: TrendInputs
+    basis: BasisInputs
 
 
-def basis_inputs(
-    scoped: DataFrame,
-    cells: DataFrame,
+def gold_inputs(
+    history: DataFrame,
     params: MarketParams = MarketParams(),
     order: Sequence[str] = ORDINAL_COLUMNS,
     stage: Staging | None = None,
-    anchor: Column | None = None,
-) -> BasisInputs:
-    """Latest rows per property, over all time and within the window.
+) -> GoldInputs:
+    """The four dedups of the gold layer and what follows from them directly.
 
-    The window comes before its dedup. With a literal ``anchor`` it prunes the
-    partitions of the history that lie outside.
+    The relevant population is filtered before its dedup, and so has its own,
+    possibly earlier, window. The data basis windows before its dedup too. With
+    ``stage`` the independent parts are written at the same time.
     """
-
-    def latest_rows(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
-        keys = ("operation", "propertyCode", "snapshot_date")
-        needed = list(dict.fromkeys((*keys, *columns, *order)))
-        rows = latest_per_property(df.select(*needed), order)
-        return _keep(rows.select("operation", *columns), name, stage)
-
-    latest = latest_rows(scoped, ("size", "rooms", "priceByArea"), "latest")
-    recent = latest_rows(
-        in_window(scoped, params.window_months, latest_date(cells) if anchor is None else anchor),
+    scoped = in_scope(history, params.scope_districts)
+    similar = relevant(scoped, params.relevant)
+    basis_columns = ("size", "rooms", "priceByArea")
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        parts = [
+            pool.submit(trend_inputs, scoped, params, order, stage, "general"),
+            pool.submit(trend_inputs, similar, params, order, stage, "relevant"),
+            pool.submit(_latest_rows, scoped, basis_columns, order, stage, "latest"),
+        ]
+        everyone, comparable, latest = (part.result() for part in parts)
+    anchor = latest_date(everyone.cells)
+    if stage is not None:
+        # The cells are a small table by now; a literal date prunes partitions.
+        anchor = F.lit(everyone.cells.agg(F.max("snapshot_date")).first()[0]).cast("date")
+    recent = _latest_rows(
+        in_window(scoped, params.window_months, anchor),
         ("district", "neighborhood", "latitude", "longitude"),
+        order,
+        stage,
         "recent",
     )
-    return BasisInputs(cells, latest, recent, params)
+    return GoldInputs(everyone, comparable, BasisInputs(everyone.cells, latest, recent, params))
 
 
-def gold_blocks(
-    history: DataFrame,
-    params: MarketParams = MarketParams(),
-    order: Sequence[str] = ORDINAL_COLUMNS,
-    stage: Staging | None = None,
+Datasets = dict[tuple[str, str], Callable[[], DataFrame]]
+
+
+def gold_datasets(
+    inputs: GoldInputs,
     general: Mapping[str, TrendDataset] = GENERAL,
     relevant_datasets: Mapping[str, TrendDataset] = RELEVANT,
     data_basis: Mapping[str, BasisDataset] = DATA_BASIS,
-) -> Blocks:
-    """All datasets of the gold layer, by block and name.
+) -> Datasets:
+    """A builder for each dataset, by block and name.
 
-    The dataset mappings can be replaced or extended. The relevant population
-    is filtered before its dedup, and so has its own, possibly earlier, window.
+    The dataset mappings can be replaced or extended.
     """
-    scoped = in_scope(history, params.scope_districts)
-    everyone = trend_inputs(scoped, params, order, stage, "general")
-    comparable = trend_inputs(
-        relevant(scoped, params.relevant), params, order, stage, "relevant"
+    blocks = (
+        ("general", general, inputs.everyone),
+        ("relevant", relevant_datasets, inputs.comparable),
+        ("data_basis", data_basis, inputs.basis),
     )
-    anchor = None
-    if stage is not None:
-        # The cells are a small table by now; a literal date prunes partitions.
-        anchor = F.lit(everyone.cells.agg(F.max("snapshot_date")).first()[0]).cast("date")
-    basis = basis_inputs(scoped, everyone.cells, params, order, stage, anchor)
     return {
-        "general": {name: make(everyone) for name, make in general.items()},
-        "relevant": {name: make(comparable) for name, make in relevant_datasets.items()},
-        "data_basis": {name: make(basis) for name, make in data_basis.items()},
+        (block_name, name): partial(make, source)
+        for block_name, datasets, source in blocks
+        for name, make in datasets.items()
     }
 
 
+def gold_blocks(
+    history: DataFrame,
+    params: MarketParams = MarketParams(),
+    order: Sequence[str] = ORDINAL_COLUMNS,
+) -> Blocks:
+    """All datasets of the gold layer as lazy DataFrames, by block and name."""
+    blocks: Blocks = {}
+    for (block_name, name), make in gold_datasets(gold_inputs(history, params, order)).items():
+        blocks.setdefault(block_name, {})[name] = make()
+    return blocks
+
+
 def _literal(value: object) -> Column:
     return F.lit(list(value)) if isinstance(value, (tuple, list)) else F.lit(value)
 
@@ -256,19 +293,35 @@ def write_gold(
     named in the result.
     """
     tables, doc = f"{root}/tables", f"{root}/latest"
-    rows: dict[tuple[str, str], int] = {}
-    written: Blocks = {}
     with Staging(spark) as stage:
-        for block_name, datasets in gold_blocks(history, params, order, stage).items():
-            written[block_name] = {}
-            for name, df in datasets.items():
-                path = f"{tables}/{block_name}/{name}"
-                df.write.mode("overwrite").parquet(path)
-                table = spark.read.schema(df.schema).parquet(path)
-                written[block_name][name] = table
-                rows[block_name, name] = table.count()
-    tables_only = tuple(key for key, n in rows.items() if n > max_document_rows)
+        datasets = gold_datasets(gold_inputs(history, params, order, stage))
+
+        def store(job: tuple[str, str]) -> tuple[DataFrame, int]:
+            path = f"{tables}/{job[0]}/{job[1]}"
+            df = datasets[job]()
+            n = _write_table(df, path)
+            return spark.read.schema(df.schema).parquet(path), n
+
+        with ThreadPoolExecutor(max_workers=_CONCURRENT_WRITES) as pool:
+            stored = dict(zip(datasets, pool.map(store, datasets)))
+    rows = {job: n for job, (_, n) in stored.items()}
+    written: Blocks = {}
+    for (block_name, name), (table, _) in stored.items():
+        written.setdefault(block_name, {})[name] = table
+    tables_only = tuple(job for job, n in rows.items() if n > max_document_rows)
     write_document(
         gold_document(spark, written, generated_at, params, left_out=tables_only), doc
     )
     return GoldResult(tables, doc, rows, tables_only)
+
+
+#: Most datasets are small; written one after another they would leave a
+#: cluster idle.
+_CONCURRENT_WRITES = 4
+
+
+def _write_table(df: DataFrame, path: str) -> int:
+    """Write one dataset and return its number of rows, counted on the way."""
+    counted = Observation()
+    df.observe(counted, F.count("*").alias("n")).write.mode("overwrite").parquet(path)
+    return counted.get["n"]

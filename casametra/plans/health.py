@@ -36,7 +36,7 @@ def _execution_check(
     )
     newest_first = recent.groupBy("function_name").agg(
         F.transform(
-            F.array_sort(F.collect_list(invocation)), lambda i: i.dropFields("recency")
+            F.sort_array(F.collect_list(invocation)), lambda i: i.dropFields("recency")
         ).alias("recent_invocations")
     )
     measures = [c for c in per_function.columns if c == "max_duration_seconds"]
@@ -52,7 +52,7 @@ def _execution_check(
     return joined.agg(
         worst.alias("status"),
         F.map_from_entries(
-            F.array_sort(F.collect_list(F.struct("function_name", detail.alias("detail"))))
+            F.sort_array(F.collect_list(F.struct("function_name", detail.alias("detail"))))
         ).alias("functions"),
     ).select(
         "status",

@@ -24,7 +24,7 @@ def record_list(df: DataFrame) -> Column:
         else F.col(f.name)
         for f in df.schema
     ]
-    return df.agg(F.array_sort(F.collect_list(F.struct(*fields)))).scalar()
+    return df.agg(F.sort_array(F.collect_list(F.struct(*fields)))).scalar()
 
 
 def block(datasets: Mapping[str, DataFrame]) -> Column:

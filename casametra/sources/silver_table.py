@@ -28,10 +28,10 @@ def write_snapshots(silver: DataFrame, root: str) -> None:
     )
 
 
-def _stored_columns(spark: SparkSession, root: str) -> list[str] | None:
-    """Column names of the stored table, or None while there is no table."""
+def _stored_table(spark: SparkSession, root: str) -> DataFrame | None:
+    """The table as stored, or None while there is none."""
     try:
-        return spark.read.parquet(root).columns
+        return spark.read.parquet(root)
     except AnalysisException as error:
         if error.getCondition() in _NO_TABLE_YET:
             return None
@@ -49,13 +49,20 @@ def read_history(spark: SparkSession, root: str) -> DataFrame:
     ``snapshot_date``. The operation of the listing itself wins over that of the
     page it came from.
     """
-    stored = _stored_columns(spark, root)
+    stored = _stored_table(spark, root)
     if stored is None:
         return empty_history(spark)
-    missing = [c for c in PARTITION_COLUMNS if c not in stored]
+    missing = [c for c in PARTITION_COLUMNS if c not in stored.columns]
     if missing:
         raise ValueError(f"silver table {root!r} lacks the columns {missing}")
-    table = spark.read.schema(SILVER_SCHEMA).parquet(root)
+    table = stored.select(
+        *[
+            (F.col(f.name) if f.name in stored.columns else F.lit(None))
+            .cast(f.dataType)
+            .alias(f.name)
+            for f in SILVER_SCHEMA
+        ]
+    )
     return table.withColumn(
         "operation", F.coalesce(OWN_OPERATION, "operation")
     ).drop(OWN_OPERATION)
@@ -67,15 +74,18 @@ def written_snapshots(spark: SparkSession, root: str) -> DataFrame:
     Taken from the names of the stored files; no file is opened for its rows.
     """
     schema = "operation string, snapshot_date date"
-    if _stored_columns(spark, root) is None:
+    try:
+        files = (
+            spark.read.format("binaryFile")
+            .option("pathGlobFilter", "*.parquet")
+            .option("recursiveFileLookup", True)
+            .load(root)
+            .select("path")
+        )
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
-        .option("recursiveFileLookup", True)
-        .load(root)
-        .select("path")
-    )
     return files.select(
         F.nullif(F.regexp_extract("path", r"/operation=([^/]+)/", 1), F.lit("")).alias(
             "operation"

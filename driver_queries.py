@@ -20,9 +20,13 @@ from casametra.operators import cleaning, dedup, filters, health, kpi, locations
 from casametra.operators import profile, snapshots
 from casametra.operators.cells import unit_cells
 from casametra.plans import gold
-from casametra.plans.dashboard import block_datasets, headline_figures, scoped_block
+from casametra.plans.dashboard import (
+    block_datasets,
+    headline_figures,
+    read_gold,
+    scoped_block,
+)
 from casametra.plans.health import checks, health_document
-from casametra.schemas import GOLD_DOCUMENT_SCHEMA
 from casametra.sources import bronze, csv_export, silver_table
 from casametra.staging import shared_dir
 
@@ -395,19 +399,25 @@ def listing_locations(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def written_document(spark: SparkSession, sf: str) -> DataFrame:
+    """The gold job's document, written and read back."""
+    result = gold.write_gold(
+        spark, views.silver(spark, sf), scratch(spark, "gold"), F.lit(GENERATED_AT), P, ORDER
+    )
+    return read_gold(spark, result.document)
+
+
 def gold_document(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole gold document, parsed again and counted per dataset."""
-    blocks = gold.gold_blocks(views.silver(spark, sf), P, ORDER)
-    text = gold.gold_document(spark, blocks, F.lit(GENERATED_AT), P)
-    doc = text.select(F.from_json("value", GOLD_DOCUMENT_SCHEMA).alias("d")).select("d.*")
+    """Records of each dataset in the written document."""
+    doc = written_document(spark, sf)
     counts = [
         F.struct(
             F.lit(block_name).alias("block"),
             F.lit(name).alias("dataset"),
             F.size(F.col(block_name)[name]).cast("bigint").alias("n_records"),
         )
-        for block_name, datasets in blocks.items()
-        for name in datasets
+        for block_name in ("general", "relevant", "data_basis")
+        for name in doc.schema[block_name].dataType.fieldNames()
     ]
     return doc.select("schema_version", "min_count", F.inline(F.array(*counts)))
 
@@ -517,10 +527,8 @@ def kpi_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dashboard_figures(spark: SparkSession, sf: str) -> DataFrame:
-    """Figures of the relevant block, read back from a gold document."""
-    blocks = gold.gold_blocks(views.silver(spark, sf), P, ORDER)
-    text = gold.gold_document(spark, blocks, F.lit(GENERATED_AT), P)
-    doc = text.select(F.from_json("value", GOLD_DOCUMENT_SCHEMA).alias("d")).select("d.*")
+    """Figures of the relevant block, from the written document."""
+    doc = written_document(spark, sf)
     return rounded(
         headline_figures(doc, block_datasets(doc, "relevant")),
         "median_rent_per_m2_month",

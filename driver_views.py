@@ -37,58 +37,77 @@ HEALTH = HealthParams(
 STAGES = {"bronze": "click", "silver": "view", "gold": "absent"}
 
 
+#: Schemas of the tables in use, so that no job has to look them up.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread an input that has fewer splits than there are cores.
+
+    A small file with a single row group would otherwise pass through one task.
+    Larger inputs, which have splits enough, are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw listing elements: one per lineitem row, some with missing values."""
     joined = (
-        table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
+        .join(table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "l_partkey"), "l_partkey")
+        .join(table(spark, sf_dir, "supplier").withColumnRenamed("s_suppkey", "l_suppkey"), "l_suppkey")
+        .join(table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "s_nationkey"), "s_nationkey")
+        .join(table(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey")
+    )
+    priced = joined.selectExpr(
+        "*",
+        "if(l_linestatus = 'O', 'sale', 'rent') AS page_operation",
+        "if(l_linestatus = 'O', l_extendedprice * 5D, l_extendedprice / 50D) AS price",
+        "CAST(p_size * 4 AS double) AS size",
     )
-    page_operation = F.when(F.col("l_linestatus") == "O", "sale").otherwise("rent")
-    price = F.when(
-        F.col("l_linestatus") == "O", F.col("l_extendedprice") * 5.0
-    ).otherwise(F.col("l_extendedprice") / 50.0)
-    size = (F.col("p_size") * 4).cast("double")
-    columns = {
-        "operation": F.when(F.col("l_tax") != 0.0, page_operation),
-        "province": F.col("r_name"),
-        "municipality": F.col("n_name"),
-        "district": F.col("r_name"),
-        "neighborhood": F.when(F.col("l_quantity") == 49.0, "").otherwise(F.col("n_name")),
-        "latitude": F.when(
-            F.col("l_quantity") != 48.0, 39.4 + (F.col("l_partkey") % 1000) / 10000.0
-        ),
-        "longitude": -0.4 + (F.col("l_partkey") % 97) / 10000.0,
-        "distance": (F.col("l_partkey") % 1500).cast("string"),
-        "address": F.col("s_name"),
-        "propertyCode": F.col("l_partkey").cast("string"),
-        "propertyType": F.col("p_type"),
-        "price": price,
-        "priceByArea": F.when(F.col("l_quantity") != 50.0, price / size),
-        "size": size,
-        "floor": F.when(F.col("l_linenumber") != 6, F.col("l_linenumber").cast("string")),
-        "exterior": F.col("l_discount") > 0.05,
-        "rooms": (F.col("p_size") % 6).cast("double"),
-        "bathrooms": F.when(
-            F.col("l_discount") != 0.0, (F.col("l_linenumber") % 4).cast("double")
-        ),
-        "status": F.col("l_returnflag"),
-        "newDevelopment": F.col("l_tax") == 0.08,
-        "hasLift": F.col("l_returnflag") != "A",
-        "parkingSpace": F.when(
-            F.col("l_linenumber") == 2, F.to_json(F.struct(F.lit(True).alias("hasParkingSpace")))
-        ),
-    }
-    return joined.select(
-        *[columns[name].alias(name) for name in ELEMENT_SCHEMA.fieldNames()],
-        page_operation.alias("page_operation"),
-        F.trunc("l_shipdate", "MM").alias("snapshot_date"),
+    return priced.selectExpr(
+        "if(l_tax <> 0D, page_operation, NULL) AS operation",
+        "r_name AS province",
+        "n_name AS municipality",
+        "r_name AS district",
+        "if(l_quantity = 49D, '', n_name) AS neighborhood",
+        "if(l_quantity <> 48D, 39.4D + (l_partkey % 1000) / 10000D, NULL) AS latitude",
+        "-0.4D + (l_partkey % 97) / 10000D AS longitude",
+        "CAST(l_partkey % 1500 AS string) AS distance",
+        "s_name AS address",
+        "CAST(l_partkey AS string) AS propertyCode",
+        "p_type AS propertyType",
+        "price",
+        "if(l_quantity <> 50D, price / size, NULL) AS priceByArea",
+        "size",
+        "if(l_linenumber <> 6, CAST(l_linenumber AS string), NULL) AS floor",
+        "l_discount > 0.05D AS exterior",
+        "CAST(p_size % 6 AS double) AS rooms",
+        "if(l_discount <> 0D, CAST(l_linenumber % 4 AS double), NULL) AS bathrooms",
+        "l_returnflag AS status",
+        "l_tax = 0.08D AS newDevelopment",
+        "l_returnflag <> 'A' AS hasLift",
+        "if(l_linenumber = 2, '{\"hasParkingSpace\":true}', NULL) AS parkingSpace",
+        "page_operation",
+        "CAST(trunc(l_shipdate, 'MM') AS date) AS snapshot_date",
         *ORDER,
     )
 
@@ -125,7 +144,7 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         elements(spark, sf_dir)
         .withColumn("actualPage", F.floor(F.col("l_orderkey") / 50).cast("int"))
         .groupBy("page_operation", "snapshot_date", "actualPage")
-        .agg(F.array_sort(F.collect_list(item)).alias("items"))
+        .agg(F.sort_array(F.collect_list(item)).alias("items"))
     )
     body = F.to_json(
         F.struct(

@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casametra.functions.columns import null_if_nan
 from casametra.operators.market import QUARTILES, rent_and_sale
 from casametra.operators.quantiles import quantiles_of_counts, value_counts
 
@@ -127,6 +126,13 @@ def count_where_zero(listings: DataFrame, column: str, by: str) -> DataFrame:
     )
 
 
+def _correlation(a: str, b: str) -> Column:
+    """Correlation over rows where both are known; ``corr`` fails on constants."""
+    spread_a = F.stddev_pop(F.when(F.col(b).isNotNull(), F.col(a)))
+    spread_b = F.stddev_pop(F.when(F.col(a).isNotNull(), F.col(b)))
+    return F.try_divide(F.covar_pop(a, b), spread_a * spread_b)
+
+
 def correlation_pairs(
     listings: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS
 ) -> DataFrame:
@@ -138,7 +144,7 @@ def correlation_pairs(
     doubles = listings.select(*[F.col(c).cast("double").alias(c) for c in columns])
     pairs = list(combinations(columns, 2))
     row = doubles.agg(
-        *[F.abs(F.corr(a, b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]
+        *[F.abs(_correlation(a, b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]
     )
     return row.select(
         F.inline(
@@ -147,7 +153,7 @@ def correlation_pairs(
                     F.struct(
                         F.lit(a).alias("column"),
                         F.lit(b).alias("later_column"),
-                        null_if_nan(F.col(f"r{i}")).alias("abs_correlation"),
+                        F.col(f"r{i}").alias("abs_correlation"),
                     )
                     for i, (a, b) in enumerate(pairs)
                 ]

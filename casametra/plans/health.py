@@ -6,7 +6,6 @@ import json
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -138,7 +137,7 @@ def _evaluate(name: str, check: Check) -> dict:
     try:
         row = check().select(F.to_json(F.struct("status", "summary", "details"))).first()
         return json.loads(row[0])
-    except (PySparkException, ArithmeticError, ValueError, TypeError) as error:
+    except Exception as error:  # one failing check must not stop the others
         return {
             "status": RED,
             "summary": f"{name} check failed to evaluate: {error}",

@@ -156,5 +156,10 @@ def quality_profile(pages: DataFrame) -> DataFrame:
 
 
 def failed_pages(pages: DataFrame) -> DataFrame:
-    """Names of the pages that did not parse."""
-    return pages.filter(F.col(CORRUPT_COLUMN).isNotNull()).select("page_file")
+    """Names of the pages that did not parse.
+
+    File scans refuse a query on the corrupt-record column alone, hence the
+    second condition, which always holds.
+    """
+    any_size = F.coalesce(F.size("elementList"), F.lit(0)) >= -1
+    return pages.filter(F.col(CORRUPT_COLUMN).isNotNull() & any_size).select("page_file")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,7 +61,7 @@ def read_document_if_available(
     """Like ``read_document``, with None in place of any failure."""
     try:
         return read_document(spark, path, schema, versions)
-    except (PySparkException, ValueError):
+    except Exception:  # the document is optional to its readers, whatever went wrong
         return None
 
 

@@ -1,0 +1,100 @@
+"""One local session and small helpers for all tests."""
+
+from __future__ import annotations
+
+import datetime
+import json
+import os
+import sys
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from casametra.schemas import ELEMENT_SCHEMA, SILVER_SCHEMA  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = (
+        SparkSession.builder.master("local[8]")
+        .appName("casametra-tests")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", "4g")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+def day(text: str | None) -> datetime.date | None:
+    return None if text is None else datetime.date.fromisoformat(text)
+
+
+DEFAULT_LISTING = {
+    "operation": "sale",
+    "province": "P",
+    "municipality": "M",
+    "district": "Extramurs",
+    "neighborhood": "La Petxina",
+    "latitude": 39.47,
+    "longitude": -0.38,
+    "distance": "100",
+    "address": "A street",
+    "propertyCode": "1",
+    "propertyType": "flat",
+    "price": 300000.0,
+    "priceByArea": 2000.0,
+    "size": 150.0,
+    "floor": "3",
+    "exterior": True,
+    "rooms": 3,
+    "bathrooms": 2,
+    "status": "good",
+    "newDevelopment": False,
+    "hasLift": True,
+    "parkingSpace": None,
+    "snapshot_date": datetime.date(2023, 4, 9),
+    "_page_file": "sale_20230409_120000_1.json",
+    "_page_pos": 0,
+}
+
+LISTING_SCHEMA = type(SILVER_SCHEMA)(
+    [f for f in SILVER_SCHEMA if f.name != "_listing_operation"]
+)
+
+
+@pytest.fixture
+def listings(spark):
+    """Build listings from partial rows; positions follow the list order."""
+
+    def build(*rows: dict):
+        full = [
+            {**DEFAULT_LISTING, "propertyCode": str(i), "_page_pos": i, **row}
+            for i, row in enumerate(rows)
+        ]
+        names = LISTING_SCHEMA.fieldNames()
+        return spark.createDataFrame([tuple(r[n] for n in names) for r in full], LISTING_SCHEMA)
+
+    return build
+
+
+def element(**values) -> dict:
+    names = ELEMENT_SCHEMA.fieldNames()
+    base = {k: v for k, v in DEFAULT_LISTING.items() if k in names and k != "parkingSpace"}
+    return {**base, **values}
+
+
+def write_page(root, name: str, elements: list | None, text: str | None = None) -> None:
+    body = {} if elements is None else {"elementList": elements, "total": len(elements)}
+    (root / name).write_text(json.dumps(body) if text is None else text, encoding="utf-8")
+
+
+def records(df) -> list[dict]:
+    return [row.asDict(recursive=True) for row in df.collect()]

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from casametra.functions.columns import by_name, floor_bin, iso_date
 from casametra.operators.cells import mean, roll_up
-from casametra.operators.quantiles import quantiles_of_counts, value_counts
+from casametra.operators.quantiles import exact_quantiles
 from casametra.params import MarketParams
 
 BOX_KEYS = ("operation", "district", "neighborhood")
@@ -119,33 +119,17 @@ def rent_vs_sale_ratio_series(
     )
 
 
-def price_counts(listings: DataFrame, in_window: Column | None = None) -> DataFrame:
-    """Counted prices per area of each neighborhood.
-
-    With a window predicate there is a second count, ``n_recent``, so that one
-    pass serves the all-time and the rolling box plots.
-    """
-    if in_window is None:
-        return value_counts(listings, BOX_KEYS, "priceByArea")
-    return (
-        listings.dropna(subset=[*BOX_KEYS, "priceByArea"])
-        .groupBy(*BOX_KEYS, "priceByArea")
-        .agg(F.count("*").alias("n"), F.count_if(in_window).alias("n_recent"))
-    )
-
-
 def boxplot(
-    counts: DataFrame,
+    listings: DataFrame,
     min_count: int = 1,
-    n: str = "n",
     keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Five-number summary of price per area for each neighborhood.
 
     Groups with fewer than ``min_count`` prices are left out. For ``keep`` see
-    ``quantiles_of_counts``.
+    ``exact_quantiles``.
     """
-    summary = quantiles_of_counts(counts, BOX_KEYS, "priceByArea", QUARTILES, n, keep)
+    summary = exact_quantiles(listings, BOX_KEYS, "priceByArea", QUARTILES, keep)
     return summary if min_count <= 1 else summary.filter(F.col("count") >= min_count)
 
 

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casametra.operators.market import QUARTILES, rent_and_sale
-from casametra.operators.quantiles import quantiles_of_counts, value_counts
+from casametra.operators.quantiles import exact_quantiles
 
 NUMERIC_COLUMNS = (
     "latitude",
@@ -88,10 +88,12 @@ def describe(
     listings: DataFrame,
     keys: Sequence[str] = ("operation",),
     columns: Sequence[str] = NUMERIC_COLUMNS,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Count, mean, deviation, extremes and exact quartiles of each column.
 
-    One row per group and column; columns without a known value give none.
+    One row per group and column; columns without a known value give none. For
+    ``keep`` see ``exact_quantiles``.
     """
     long = listings.select(
         *keys,
@@ -105,8 +107,7 @@ def describe(
         ),
     )
     groups = (*keys, "column")
-    counts = value_counts(long, groups, "value")
-    summary = quantiles_of_counts(counts, groups, "value", QUARTILES)
+    summary = exact_quantiles(long, groups, "value", QUARTILES, keep)
 
     moments = long.groupBy(*groups).agg(
         F.avg("value").alias("mean"), F.stddev_samp("value").alias("std")

@@ -2,15 +2,15 @@
 
 Spark's ``percentile`` keeps all distinct values of a group in one buffer. With
 two operations and a few dozen neighborhoods a group may hold a third of all
-rows, so the quantiles are found by rank instead: values are counted, counted
-values fall into buckets that follow their order, and the running totals of the
-buckets say in which bucket each wanted rank lies. Only those few buckets are
-then put in order. No task ever sees more than one bucket of a group.
+rows, so the quantiles are found by rank instead: values fall into buckets that
+follow their order, and the running totals of the buckets say in which bucket
+each wanted rank lies. Only those few buckets are then counted by value and put
+in order. No task ever sees more than one bucket of a group.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,15 +19,6 @@ from pyspark.sql import Window
 _BUCKETS_PER_E_FOLD = 512
 
 
-def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """How often each known value occurs in each group: ``keys``, value, ``n``."""
-    return (
-        df.dropna(subset=[*keys, value])
-        .groupBy(*keys, value)
-        .agg(F.count("*").alias("n"))
-    )
-
-
 def _bucket(value: Column) -> Column:
     """A bucket number that never decreases as the value grows.
 
@@ -37,39 +28,37 @@ def _bucket(value: Column) -> Column:
     return F.floor(F.signum(value) * F.log1p(F.abs(value)) * _BUCKETS_PER_E_FOLD)
 
 
-def quantiles_of_counts(
-    counts: DataFrame,
+def exact_quantiles(
+    df: DataFrame,
     keys: Sequence[str],
     value: str,
-    quantiles: dict[str, float],
-    n: str = "n",
+    quantiles: Mapping[str, float],
     keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """``count``, ``min``, ``max`` and the named quantiles of counted values.
+    """``count``, ``min``, ``max`` and the named quantiles of each group.
 
-    Quantiles interpolate linearly between the two nearest ranks. ``keys`` are
-    not null; groups without values give no row.
+    Null values and null keys are left out; groups without values give no row.
+    Quantiles interpolate linearly between the two nearest ranks.
 
     ``keep`` may store the list of wanted buckets as a table. Its size is then
-    known when the join is planned: a short list is broadcast and the counts
-    are not shuffled again, a long one is joined by a shuffle.
+    known when the join is planned: a short list is broadcast, and the rows are
+    read twice but never shuffled. Without ``keep`` the rows are counted by
+    value first, so that repeated values cross the shuffle once.
     """
-    counted = counts.filter(F.col(n) > 0).select(
-        *keys,
-        F.col(value).cast("double").alias("_v"),
-        F.col(n).alias("_n"),
-        _bucket(F.col(value).cast("double")).alias("_b"),
+    known = df.dropna(subset=[*keys, value]).select(
+        *keys, F.col(value).cast("double").alias("_v")
     )
+    if keep is None:
+        known = known.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
+    else:
+        known = known.withColumn("_n", F.lit(1).cast("bigint"))
+    rows = known.withColumn("_b", _bucket(F.col("_v")))
 
     in_group = Window.partitionBy(*keys)
     up_to_bucket = in_group.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     buckets = (
-        counted.groupBy(*keys, "_b")
-        .agg(
-            F.sum("_n").alias("_bn"),
-            F.min("_v").alias("_lo"),
-            F.max("_v").alias("_hi"),
-        )
+        rows.groupBy(*keys, "_b")
+        .agg(F.sum("_n").alias("_bn"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
         .select(
             *keys,
             "_b",
@@ -98,24 +87,38 @@ def quantiles_of_counts(
     if keep is not None:
         wanted = keep(wanted)
 
+    of_bucket = (*keys, "_b", "_before", "_total", "_min", "_max")
+    counted = (
+        rows.join(wanted, on=[*keys, "_b"])
+        .groupBy(*of_bucket, "_v")
+        .agg(F.sum("_n").alias("_n"))
+    )
     up_to_value = (
         Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     )
-    last = F.col("_before") + F.sum("_n").over(up_to_value) - 1
-    ordered = counted.join(wanted, on=[*keys, "_b"]).withColumn("_last", last)
-    first = F.col("_last") - F.col("_n") + 1
-
-    picks = []
-    for name, (low, high) in ranks.items():
-        picks.append(F.max(F.when(low.between(first, F.col("_last")), F.col("_v"))).alias(f"_{name}_lo"))
-        picks.append(F.max(F.when(high.between(first, F.col("_last")), F.col("_v"))).alias(f"_{name}_hi"))
-    picked = ordered.groupBy(*keys).agg(
-        *[F.first(c).alias(c) for c in ("_total", "_min", "_max")], *picks
+    ordered = counted.withColumn(
+        "_last", F.col("_before") + F.sum("_n").over(up_to_value) - 1
+    )
+    first, last = F.col("_last") - F.col("_n") + 1, F.col("_last")
+
+    def value_at(rank: Column) -> Column:
+        return F.max(F.when(rank.between(first, last), F.col("_v")))
+
+    group_columns = (*keys, "_total", "_min", "_max")
+    picked = ordered.groupBy(*group_columns).agg(
+        *[
+            column
+            for name, (low, high) in ranks.items()
+            for column in (
+                value_at(low).alias(f"_{name}_low"),
+                value_at(high).alias(f"_{name}_high"),
+            )
+        ]
     )
 
     def interpolated(name: str, p: float) -> Column:
         rank = last_rank * p
-        low, high = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
+        low, high = F.col(f"_{name}_low"), F.col(f"_{name}_high")
         return (low + (high - low) * (rank - F.floor(rank))).alias(name)
 
     return picked.select(

@@ -28,14 +28,21 @@ class TrendInputs:
     """What the datasets of a population start from.
 
     ``listings`` has one row per property and snapshot, ``cells`` is rolled up
-    to the finest grain, ``price_counts`` counts prices per neighborhood.
+    to the finest grain. ``anchor`` is the latest snapshot date.
     """
 
     listings: DataFrame
     cells: DataFrame
-    price_counts: DataFrame
+    anchor: Column
     params: MarketParams
-    keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df
+    stage: Staging | None = None
+    name: str = "general"
+
+    def keep_as(self, part: str) -> Callable[[DataFrame], DataFrame] | None:
+        """A way to store an intermediate result, when the job stages at all."""
+        if self.stage is None:
+            return None
+        return lambda df: self.stage.table(df, f"{self.name}/{part}")
 
 
 @dataclass(frozen=True)
@@ -61,13 +68,12 @@ RELEVANT: Mapping[str, TrendDataset] = {
         t.cells, t.params.min_count
     ),
     "boxplot_by_neighborhood": lambda t: market.boxplot(
-        t.price_counts, keep=lambda df: t.keep(df, "buckets")
+        t.listings, keep=t.keep_as("buckets")
     ),
     "boxplot_by_neighborhood_last_3m": lambda t: market.boxplot(
-        t.price_counts,
+        in_window(t.listings, t.params.window_months, t.anchor),
         t.params.min_count,
-        n="n_recent",
-        keep=lambda df: t.keep(df, "recent_buckets"),
+        keep=t.keep_as("recent_buckets"),
     ),
 }
 
@@ -98,12 +104,11 @@ def trend_inputs(
     order: Sequence[str] = ORDINAL_COLUMNS,
     stage: Staging | None = None,
     name: str = "general",
-    anchor: Column | None = None,
 ) -> TrendInputs:
     """Deduplicate a filtered population once and derive its inputs.
 
-    With ``stage`` the three inputs become tables, so that no dataset repeats
-    the dedup. Only the columns the datasets need take part in its shuffle.
+    With ``stage`` both inputs become tables, so that no dataset repeats the
+    dedup. Only the columns the datasets need take part in its shuffle.
     """
     order_only = [c for c in order if c not in _TREND_COLUMNS]
 
@@ -113,10 +118,7 @@ def trend_inputs(
     slim = listings.select(*_TREND_COLUMNS, *order_only)
     deduped = keep(first_per_snapshot(slim, order).drop(*order_only), "listings")
     cells = keep(roll_up(unit_cells(deduped), CELL_KEYS), "cells")
-    latest = latest_date(cells) if anchor is None else anchor
-    in_last_months = F.col("snapshot_date") >= F.add_months(latest, -params.window_months)
-    counts = keep(market.price_counts(deduped, in_last_months), "price_counts")
-    return TrendInputs(deduped, cells, counts, params, keep)
+    return TrendInputs(deduped, cells, latest_date(cells), params, stage, name)
 
 
 def _latest_rows(

@@ -75,12 +75,12 @@ def recent_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def boxes(spark: SparkSession, sf: str, only_relevant: bool = False) -> DataFrame:
     listings = first_rows(population(spark, sf, only_relevant))
-    return market.boxplot(market.price_counts(listings))
+    return market.boxplot(listings)
 
 
 def recent_boxes(spark: SparkSession, sf: str, only_relevant: bool = False) -> DataFrame:
     recent = filters.in_window(population(spark, sf, only_relevant), P.window_months)
-    return market.boxplot(market.price_counts(first_rows(recent)), P.min_count)
+    return market.boxplot(first_rows(recent), P.min_count)
 
 
 def ratios(spark: SparkSession, sf: str, only_relevant: bool = False) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from casametra.functions.columns import floor_bin, iso_timestamp_or_text
 from casametra.operators import dedup, filters, locations, market, profile
 from casametra.operators.cells import CELL_KEYS, roll_up, unit_cells
-from casametra.operators.quantiles import quantiles_of_counts, value_counts
+from casametra.operators.quantiles import exact_quantiles
 from casametra.staging import Staging
 from tests.conftest import day, records
 
@@ -189,8 +189,9 @@ def test_ratio_series_applies_the_minimum_per_snapshot(listings):
 # --- quantiles --------------------------------------------------------------
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_quantiles_equal_numpy(spark, seed):
+@pytest.mark.parametrize("keep", [None, lambda df: df])
+@pytest.mark.parametrize("seed", range(3))
+def test_quantiles_equal_numpy(spark, seed, keep):
     rng = np.random.default_rng(seed)
     groups = {
         "one": [5.0],
@@ -207,7 +208,7 @@ def test_quantiles_equal_numpy(spark, seed):
     wanted = {"q1": 0.25, "median": 0.5, "q3": 0.75, "p99": 0.99}
     got = {
         r["g"]: r
-        for r in records(quantiles_of_counts(value_counts(df, ["g"], "v"), ["g"], "v", wanted))
+        for r in records(exact_quantiles(df, ["g"], "v", wanted, keep))
     }
     assert got.keys() == groups.keys()
     for g, values in groups.items():
@@ -224,40 +225,23 @@ def test_stored_buckets_are_broadcast_and_give_the_same(spark):
         (F.col("id") * 7919 % 1009).cast("double").alias("v"),
     )
     wanted = {"q1": 0.25, "q3": 0.75}
+    plain = exact_quantiles(df, ["g"], "v", wanted)
     with Staging(spark) as stage:
-        counts = stage.table(value_counts(df, ["g"], "v"), "counts")
-        plain = quantiles_of_counts(counts, ["g"], "v", wanted)
-        kept = quantiles_of_counts(
-            counts, ["g"], "v", wanted, keep=lambda buckets: stage.table(buckets, "buckets")
-        )
+        kept = exact_quantiles(df, ["g"], "v", wanted, lambda b: stage.table(b, "buckets"))
         plan = kept._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" in plan
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
         assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, plain.collect()))
 
 
 def test_boxplot_minimum_counts_known_prices(listings):
     rows = [{"priceByArea": float(v)} for v in (1, 2, 4, 8)] + [{"priceByArea": None}]
-    counts = market.price_counts(listings(*rows))
-    (box,) = records(market.boxplot(counts))
+    df = listings(*rows)
+    (box,) = records(market.boxplot(df))
     assert (box["count"], box["min"], box["q1"], box["median"], box["q3"], box["max"]) == (
         4, 1.0, 1.75, 3.0, 5.0, 8.0
     )
-    assert len(records(market.boxplot(counts, 4))) == 1
-    assert records(market.boxplot(counts, 5)) == []
-
-
-def test_one_count_table_serves_both_windows(listings):
-    rows = [
-        {"priceByArea": float(v), "snapshot_date": day(d)}
-        for d, values in (("2023-01-01", (100, 200, 300)), ("2023-06-01", (10, 20)))
-        for v in values
-    ]
-    df = listings(*rows)
-    counts = market.price_counts(df, F.col("snapshot_date") >= day("2023-03-01"))
-    (every,) = records(market.boxplot(counts))
-    (recent,) = records(market.boxplot(counts, n="n_recent"))
-    assert (every["count"], every["median"]) == (5, 100.0)
-    assert (recent["count"], recent["median"], recent["max"]) == (2, 15.0, 20.0)
+    assert len(records(market.boxplot(df, 4))) == 1
+    assert records(market.boxplot(df, 5)) == []
 
 
 # --- histograms and locations -----------------------------------------------

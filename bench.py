@@ -1,7 +1,8 @@
 """Headline queries, timed warm; prints one line of JSON.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default
-all cores), BENCH_RUNS (timed runs per query, default 3; the median counts).
+all cores), BENCH_RUNS (timed runs per query after a warm-up,
+default 2; the median counts).
 """
 
 from __future__ import annotations
@@ -102,7 +103,7 @@ def timed(run: Callable[[], None], runs: int) -> float:
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = session()
     results = {
         name: timed(lambda: consume(driver_queries.QUERIES[name](spark, sf_dir)), runs)

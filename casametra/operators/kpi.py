@@ -43,39 +43,55 @@ def _listings_of_both_sides() -> Column:
     )
 
 
+def _yield_percent() -> Column:
+    """Implied gross yield over the positive ratios, weighted by listings."""
+    ratio, listings = F.col("mean_sales_price_by_rent_ratio"), _listings_of_both_sides()
+    weight = F.when(ratio > 0, F.when(listings == 0, F.lit(1)).otherwise(listings))
+    mean_ratio = F.try_divide(F.sum(ratio * weight), F.sum(weight))
+    return F.try_divide(F.lit(12.0), mean_ratio) * 100.0
+
+
+def _listing_count() -> Column:
+    return F.sum(_listings_of_both_sides())
+
+
 def gross_yield(ratios: DataFrame) -> DataFrame:
     """Implied gross yield in percent, from ratios weighted by listing count."""
-    ratio = F.col("mean_sales_price_by_rent_ratio")
-    listings = _listings_of_both_sides()
-    weight = F.when(listings == 0, F.lit(1)).otherwise(listings)
-    mean_ratio = F.try_divide(F.sum(ratio * weight), F.sum(weight))
-    return ratios.filter(ratio > 0).agg(
-        (F.try_divide(F.lit(12.0), mean_ratio) * 100.0).alias("implied_gross_yield_percent")
-    )
+    return ratios.agg(_yield_percent().alias("implied_gross_yield_percent"))
 
 
 def total_listings(ratios: DataFrame) -> DataFrame:
     """Listings on both sides of all ratios; null when there is no ratio."""
-    return ratios.agg(F.sum(_listings_of_both_sides()).alias("total_listing_count"))
+    return ratios.agg(_listing_count().alias("total_listing_count"))
 
 
 def summary(
     boxes: DataFrame, ratios: DataFrame, generated_at: Column
 ) -> DataFrame:
-    """The headline figures in one row, each null when its input is empty."""
-    medians = weighted_median(boxes)
+    """The headline figures in one row, each null when its input is empty.
+
+    Two scalar subqueries, one over the box plots and one over the ratios.
+    """
 
     def median_of(operation: str) -> Column:
-        return (
-            medians.filter(F.col("operation") == operation).select("weighted_median").scalar()
-        )
+        return F.max(F.when(F.col("operation") == operation, F.col("weighted_median")))
 
-    return boxes.sparkSession.range(1).select(
-        median_of("rent").alias("median_rent_per_m2_month"),
-        median_of("sale").alias("median_sale_per_m2"),
-        gross_yield(ratios).scalar().alias("implied_gross_yield_percent"),
-        total_listings(ratios).scalar().alias("total_listing_count"),
-        generated_at.alias("last_updated"),
+    medians = weighted_median(boxes).agg(
+        F.struct(median_of("rent").alias("rent"), median_of("sale").alias("sale"))
+    )
+    totals = ratios.agg(
+        F.struct(_yield_percent().alias("percent"), _listing_count().alias("listings"))
+    )
+    return (
+        boxes.sparkSession.range(1)
+        .select(medians.scalar().alias("medians"), totals.scalar().alias("totals"))
+        .select(
+            F.col("medians.rent").alias("median_rent_per_m2_month"),
+            F.col("medians.sale").alias("median_sale_per_m2"),
+            F.col("totals.percent").alias("implied_gross_yield_percent"),
+            F.col("totals.listings").alias("total_listing_count"),
+            generated_at.alias("last_updated"),
+        )
     )
 
 

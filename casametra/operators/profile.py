@@ -185,6 +185,16 @@ def drop_redundant(
     return listings.drop(*[row[0] for row in found.collect()])
 
 
+def head(listings: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
+    """The first ``n`` rows in an explicit order, for inspection."""
+    return listings.orderBy(*order).limit(n)
+
+
+def sample(listings: DataFrame, fraction: float, seed: int = 0) -> DataFrame:
+    """A random part of the rows, for inspection."""
+    return listings.sample(fraction=fraction, seed=seed)
+
+
 def highest_price_per_area(listings: DataFrame) -> DataFrame:
     return listings.agg(F.max("priceByArea").alias("max_priceByArea"))
 

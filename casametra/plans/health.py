@@ -18,7 +18,9 @@ from casametra.functions.columns import (
     status_name,
 )
 from casametra.operators import health
-from casametra.params import HEALTH_SCHEMA_VERSION, HealthParams
+from casametra.params import HEALTH_SCHEMA_VERSION, READABLE_HEALTH_VERSIONS, HealthParams
+from casametra.schemas import HEALTH_DOCUMENT_SCHEMA
+from casametra.sources.documents import read_document_if_available, write_document
 
 Check = Callable[[], DataFrame]
 
@@ -166,3 +168,22 @@ def health_document(
         **results,
     }
     return spark.createDataFrame([(json.dumps(body),)], "value string")
+
+
+def write_health(
+    spark: SparkSession,
+    named_checks: dict[str, Check],
+    root: str,
+    generated_at: datetime,
+) -> str:
+    """Evaluate the checks and write their document; returns its folder."""
+    path = f"{root}/latest"
+    write_document(health_document(spark, named_checks, generated_at), path)
+    return path
+
+
+def read_health(spark: SparkSession, path: str) -> DataFrame | None:
+    """A written health document, or None when it cannot be had."""
+    return read_document_if_available(
+        spark, path, HEALTH_DOCUMENT_SCHEMA, READABLE_HEALTH_VERSIONS
+    )

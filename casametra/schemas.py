@@ -188,3 +188,65 @@ GOLD_DOCUMENT_SCHEMA = T.StructType(
         T.StructField("data_basis", _block(DATA_BASIS_DATASETS)),
     ]
 )
+
+
+def _check(*details: T.StructField) -> T.StructType:
+    return T.StructType(
+        [
+            T.StructField("status", _S),
+            T.StructField("summary", _S),
+            T.StructField("details", T.StructType(list(details))),
+            T.StructField("evaluated_at", _S),
+        ]
+    )
+
+
+_FUNCTION_DETAIL = T.StructType(
+    [
+        T.StructField("status", _S),
+        T.StructField("insufficient_history", T.BooleanType()),
+        T.StructField("invocations_checked", _L),
+        T.StructField("max_duration_seconds", _D),
+        T.StructField(
+            "recent_invocations",
+            _records(
+                ("timestamp", _S), ("succeeded", T.BooleanType()), ("duration_seconds", _D)
+            ),
+        ),
+    ]
+)
+_EXECUTIONS = _check(T.StructField("functions", T.MapType(_S, _FUNCTION_DETAIL)))
+_CREDENTIAL_SET = T.StructType(
+    [
+        T.StructField("status", _S),
+        T.StructField("label", _S),
+        T.StructField("monthly_requests", T.MapType(_S, _D)),
+        T.StructField("quota", _I),
+    ]
+)
+
+#: The health document, as readers parse it.
+HEALTH_DOCUMENT_SCHEMA = T.StructType(
+    [
+        T.StructField("schema_version", _S),
+        T.StructField("generated_at", _S),
+        T.StructField("overall_status", _S),
+        T.StructField("execution_success", _EXECUTIONS),
+        T.StructField("execution_duration", _EXECUTIONS),
+        T.StructField(
+            "api_quota", _check(T.StructField("credential_sets", T.MapType(_S, _CREDENTIAL_SET)))
+        ),
+        T.StructField(
+            "aws_cost",
+            _check(
+                T.StructField("included_total_usd", _D),
+                T.StructField("excluded_total_usd", _D),
+                T.StructField("excluded_services", T.ArrayType(_S)),
+                T.StructField(
+                    "monthly_cost_by_service",
+                    _records(("month", _S), ("services", T.MapType(_S, _D))),
+                ),
+            ),
+        ),
+    ]
+)

@@ -97,9 +97,10 @@ def parse_pages(
     """Parse pages that arrive as text in a column, in the shape of ``scan_pages``."""
     schema = _PAGE_WITH_CORRUPT if mode == "PERMISSIVE" else PAGE_SCHEMA
     parsed = F.from_json(F.col(body), schema, {"mode": mode})
-    return df.select(parsed.alias("_page"), F.col(page_file).alias("page_file")).select(
-        "_page.*", "page_file"
-    )
+    page = F.struct(parsed.alias("_page"), F.col(page_file).alias("page_file"))
+    # As a generator the parser runs once, however many columns are used later,
+    # and rules on page names are checked per page, not on what pages are made of.
+    return df.select(F.inline(F.array(page))).select("_page.*", "page_file")
 
 
 def explode_elements(pages: DataFrame) -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casametra.schemas import OWN_OPERATION, PARTITION_COLUMNS, SILVER_SCHEMA
 
@@ -47,7 +48,8 @@ def read_history(spark: SparkSession, root: str) -> DataFrame:
 
     Raises ``ValueError`` when the stored table lacks ``operation`` or
     ``snapshot_date``. The operation of the listing itself wins over that of the
-    page it came from.
+    page it came from. Tables of other writers may lack optional columns; their
+    row order is that of the files.
     """
     stored = _stored_table(spark, root)
     if stored is None:
@@ -55,19 +57,27 @@ def read_history(spark: SparkSession, root: str) -> DataFrame:
     missing = [c for c in PARTITION_COLUMNS if c not in stored.columns]
     if missing:
         raise ValueError(f"silver table {root!r} lacks the columns {missing}")
-    table = stored.select(
-        *[
-            (F.col(f.name) if f.name in stored.columns else F.lit(None))
-            .cast(f.dataType)
-            .alias(f.name)
-            for f in SILVER_SCHEMA
-        ]
-    )
+    table = stored.select(*[_stored_column(stored, f).alias(f.name) for f in SILVER_SCHEMA])
     return table.withColumn(
         "operation", F.coalesce(OWN_OPERATION, "operation")
     ).drop(OWN_OPERATION)
 
 
+#: Stands in for the position of a row in tables that other writers made.
+_POSITION_IN_FILE = {"_page_file": "_metadata.file_path", "_page_pos": "_metadata.row_index"}
+
+
+def _stored_column(stored: DataFrame, wanted: T.StructField) -> Column:
+    """A stored column in the type of the silver schema, null if it is absent."""
+    if wanted.name in stored.columns:
+        column = F.col(wanted.name)
+    elif wanted.name in _POSITION_IN_FILE:
+        column = F.col(_POSITION_IN_FILE[wanted.name])
+    else:
+        column = F.lit(None)
+    return column.cast(wanted.dataType)
+
+
 def written_snapshots(spark: SparkSession, root: str) -> DataFrame:
     """The (operation, snapshot_date) pairs that have a partition already.
 

@@ -117,9 +117,9 @@ snaps AS (
 ),
 paged AS (
   SELECT *, page_operation || '_' || strftime(snapshot_date, '%Y%m%d') || '_120000_'
-      || CAST(l_orderkey // 50 AS VARCHAR) || '.json' AS page_file,
-    (l_orderkey // 50) % 41 = 0 AS cut_off,
-    row_number() OVER (PARTITION BY page_operation, snapshot_date, l_orderkey // 50
+      || CAST(l_orderkey // 2000 AS VARCHAR) || '.json' AS page_file,
+    (l_orderkey // 2000) % 7 = 3 AS cut_off,
+    row_number() OVER (PARTITION BY page_operation, snapshot_date, l_orderkey // 2000
       ORDER BY {_ORDER}) - 1 AS page_pos
   FROM raw
 ),
@@ -588,6 +588,9 @@ _BODIES: dict[str, str] = {
     "redundant_columns": (
         f"SELECT DISTINCT later_column AS \"column\" FROM ({_correlations()}) WHERE r > 0.5"
     ),
+    "first_listings": (
+        f"SELECT {_LISTING} FROM (SELECT * FROM valid ORDER BY {_ORDER} LIMIT 3)"
+    ),
     "max_price": "SELECT max(priceByArea) AS max_priceByArea FROM valid",
     "scope_districts": (
         f"SELECT DISTINCT district FROM ({_RATIO_RAW}) "

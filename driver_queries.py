@@ -478,6 +478,10 @@ def redundant_columns(spark: SparkSession, sf: str) -> DataFrame:
     return profile.redundant_columns(profile.correlation_pairs(views.silver(spark, sf)), 0.5)
 
 
+def first_listings(spark: SparkSession, sf: str) -> DataFrame:
+    return listing_view(profile.head(views.silver(spark, sf), 3, ORDER))
+
+
 def max_price(spark: SparkSession, sf: str) -> DataFrame:
     return profile.highest_price_per_area(views.silver(spark, sf))
 
@@ -819,6 +823,7 @@ QUERIES: dict[str, Query] = {
         zero_bathrooms_by_neighborhood,
         correlation_pairs,
         redundant_columns,
+        first_listings,
         max_price,
         scope_districts,
         scope_neighborhoods,

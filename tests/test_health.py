@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from casametra.operators import health
 from casametra.params import HealthParams
-from casametra.plans.health import checks, health_document
+from casametra.plans.health import checks, health_document, read_health, write_health
 from casametra.schemas import COSTS_SCHEMA, INVOCATIONS_SCHEMA, REQUESTS_SCHEMA
 from tests.conftest import day, records
 
@@ -247,3 +247,16 @@ def test_document_isolates_a_failing_check(spark, runs):
     assert doc["aws_cost"]["status"] == "green"
     with pytest.raises(ValueError):
         health_document(spark, {}, NOON)
+
+
+def test_written_document_is_read_back(spark, runs, tmp_path):
+    named = checks(
+        runs(OK), requests(spark), costs(spark, ("2026-04-02", "Compute", "3.10")), now(), ONE
+    )
+    path = write_health(spark, named, str(tmp_path), NOON)
+    row = read_health(spark, path).first()
+    assert row.overall_status == "green"
+    assert row.execution_success.details.functions["fn"].insufficient_history
+    assert row.api_quota.details.credential_sets["LVW"].monthly_requests["2026-01"] == 0.0
+    assert row.aws_cost.details.monthly_cost_by_service[3].services == {"Compute": 3.1}
+    assert read_health(spark, str(tmp_path / "none")) is None

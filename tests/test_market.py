@@ -360,6 +360,12 @@ def test_volume_order_and_zero_counts(listings):
     assert profile.highest_price_per_area(df).first()[0] == 9.0
 
 
+def test_head_and_sample(listings):
+    df = listings(*[{"price": float(9 - i)} for i in range(9)])
+    assert [r.price for r in profile.head(df, 2, ["price"]).collect()] == [1.0, 2.0]
+    assert profile.sample(df, 1.0).count() == 9
+
+
 def test_scope_options(spark):
     a = spark.createDataFrame([("B", "y"), ("A", "x"), (None, None)], "district string, neighborhood string")
     b = spark.createDataFrame([("C",), ("",)], "district string")

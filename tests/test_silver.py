@@ -2,7 +2,7 @@ import datetime
 
 import pytest
 
-from casametra.operators import cleaning, snapshots
+from casametra.operators import cleaning, dedup, snapshots
 from casametra.plans.silver import backfill, clean_snapshots
 from casametra.schemas import SILVER_COLUMNS
 from casametra.sources import csv_export, silver_table
@@ -162,6 +162,29 @@ def test_listing_of_the_other_operation_does_not_block_its_snapshot(spark, tmp_p
     assert {(r.propertyCode, r.operation) for r in rows} == {("stray", "sale"), ("own", "sale")}
 
 
+def test_history_of_another_writer_keeps_file_order(spark, tmp_path):
+    """Key columns in path and file, dates as text, no positions, wider integers."""
+    import pandas as pd
+
+    part = tmp_path / "silver" / "operation=sale" / "snapshot_date=2023-04-09"
+    part.mkdir(parents=True)
+    pd.DataFrame(
+        {
+            "operation": ["sale"] * 3,
+            "snapshot_date": ["2023-04-09"] * 3,
+            "propertyCode": ["p", "q", "p"],
+            "price": [1.0, 2.0, 3.0],
+            "rooms": [2, 3, 4],
+        }
+    ).to_parquet(part / "part.parquet", index=False)
+    history = silver_table.read_history(spark, str(tmp_path / "silver"))
+    assert set(SILVER_COLUMNS) <= set(history.columns)
+    first = dedup.first_per_snapshot(history).select("propertyCode", "price", "rooms", "snapshot_date")
+    assert {tuple(r) for r in first.collect()} == {("p", 1.0, 2, D9), ("q", 2.0, 3, D9)}
+    latest = dedup.latest_per_property(history).select("propertyCode", "price")
+    assert {tuple(r) for r in latest.collect()} == {("p", 3.0), ("q", 2.0)}
+
+
 def test_history_needs_its_key_columns(spark, tmp_path):
     spark.range(1).withColumnRenamed("id", "price").write.parquet(str(tmp_path / "bad"))
     with pytest.raises(ValueError, match="snapshot_date"):

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from casametra.operators.filters import dashboard_scope
 from casametra.operators.kpi import preferred_boxes, summary
@@ -40,4 +39,4 @@ def headline_figures(doc: DataFrame, datasets: dict[str, DataFrame]) -> DataFram
         datasets["boxplot_by_neighborhood_last_3m"], datasets["boxplot_by_neighborhood"]
     )
     stamp = doc.select("generated_at").scalar()
-    return summary(boxes, datasets["rent_vs_sale_ratio"], F.coalesce(stamp))
+    return summary(boxes, datasets["rent_vs_sale_ratio"], stamp)

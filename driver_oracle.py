@@ -115,14 +115,19 @@ snaps AS (
   SELECT operation, snapshot_date, count(*) AS pages FROM keys
   WHERE operation IS NOT NULL GROUP BY ALL
 ),
-paged AS (
-  SELECT *, page_operation || '_' || strftime(snapshot_date, '%Y%m%d') || '_120000_'
-      || CAST(l_orderkey // 2000 AS VARCHAR) || '.json' AS page_file,
-    (l_orderkey // 2000) % 7 = 3 AS cut_off,
+numbered AS (
+  SELECT *, l_orderkey // 2000 AS block,
     row_number() OVER (PARTITION BY page_operation, snapshot_date, l_orderkey // 2000
-      ORDER BY {_ORDER}) - 1 AS page_pos
+      ORDER BY {_ORDER}) - 1 AS position
   FROM raw
 ),
+paged AS (
+  SELECT *, page_operation || '_' || strftime(snapshot_date, '%Y%m%d') || '_120000_'
+      || CAST(block * 100000 + position // 50 AS VARCHAR) || '.json' AS page_file,
+    (block + position // 50) % 7 = 3 AS cut_off,
+    position % 50 AS page_pos
+  FROM numbered
+),
 runs AS (
   SELECT event_type AS function_name, ts, event_id, value * 1000 / 1000 AS duration_seconds,
     user_id % 29 <> 0 AS succeeded,

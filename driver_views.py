@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from casametra.operators.cleaning import clean_elements
 from casametra.params import HealthParams, MarketParams
@@ -134,17 +135,20 @@ def page_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw pages as JSON text: the elements of 2,000 order keys of a snapshot each,
-    which makes about 50 elements.
+    """Raw pages as JSON text, with 50 elements at most, as a search returns them.
 
+    The elements of a snapshot are numbered within blocks of 2,000 order keys.
     Some pages are cut off in the middle of the text.
     """
     names = ELEMENT_SCHEMA.fieldNames()
-    item = F.struct(*ORDER, F.struct(*names).alias("element"))
+    block = ("page_operation", "snapshot_date", "block")
+    position = F.row_number().over(Window.partitionBy(*block).orderBy(*ORDER)) - 1
+    item = F.struct(F.col("position"), F.struct(*names).alias("element"))
     grouped = (
         elements(spark, sf_dir)
-        .withColumn("actualPage", F.floor(F.col("l_orderkey") / 2000).cast("int"))
-        .groupBy("page_operation", "snapshot_date", "actualPage")
+        .withColumn("block", F.floor(F.col("l_orderkey") / 2000))
+        .withColumn("position", position)
+        .groupBy(*block, F.floor(F.col("position") / 50).cast("int").alias("actualPage"))
         .agg(F.sort_array(F.collect_list(item)).alias("items"))
     )
     body = F.to_json(
@@ -154,16 +158,15 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             "actualPage",
         )
     )
+    cut_off = (F.col("block") + F.col("actualPage")) % 7 == 3
     return grouped.select(
         F.format_string(
             "%s_%s_120000_%d.json",
             "page_operation",
             F.date_format("snapshot_date", "yyyyMMdd"),
-            "actualPage",
+            F.col("block") * 100000 + F.col("actualPage"),
         ).alias("page_file"),
-        F.when(
-            F.col("actualPage") % 7 == 3, body.substr(F.lit(1), F.length(body) - 1)
-        ).otherwise(body).alias("body"),
+        F.when(cut_off, body.substr(F.lit(1), F.length(body) - 1)).otherwise(body).alias("body"),
     )
 
 

@@ -6,20 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casametra.llm import mixing
+from casametra.llm import length_histogram, mixing, packing
 from casametra.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(read(spark, sf, "documents"), capacity=1024, end=2)
+
+
 def op4_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix_sources(read(spark, sf, "documents"))
 
 
+def op7_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return length_histogram.token_counts(read(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op2_best_fit_packing,
         op4_mix_sources,
+        op7_token_counts,
     )
 }
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from casametra.llm import length_histogram, mixing, packing
+from casametra.llm import length_histogram, mixing, packing, substrings
 from casametra.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,12 +25,18 @@ def op7_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return length_histogram.token_counts(read(spark, sf, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    kept = substrings.remove_repeated(read(spark, sf, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op2_best_fit_packing,
         op4_mix_sources,
         op7_token_counts,
+        op9_substring_dedup,
     )
 }
 

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casametra.llm import length_histogram, mixing, packing, substrings
-from casametra.llm.common import read
+from casametra.llm import archives, length_histogram, mixing, packing, substrings
+from casametra.llm.common import Stage, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,14 @@ def op9_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op10_warc(spark: SparkSession, sf: str) -> DataFrame:
+    path = Stage(spark, "warc").path("archives")
+    records = archives.archive_pages(read(spark, sf, "pages"), path)
+    return records.select(
+        F.col("record_key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -37,6 +45,7 @@ QUERIES: dict[str, Query] = {
         op4_mix_sources,
         op7_token_counts,
         op9_substring_dedup,
+        op10_warc,
     )
 }
 

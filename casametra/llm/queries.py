@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casametra.llm import archives, length_histogram, mixing, packing, substrings
+from casametra.llm import archives, length_histogram, minhash, mixing, packing, substrings
 from casametra.llm.common import Stage, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op4_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix_sources(read(spark, sf, "documents"))
 
 
+def op6_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, sf, "documents"), size=2, percent=80)
+
+
 def op7_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return length_histogram.token_counts(read(spark, sf, "documents"))
 
@@ -43,6 +47,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op2_best_fit_packing,
         op4_mix_sources,
+        op6_minhash_dedup,
         op7_token_counts,
         op9_substring_dedup,
         op10_warc,

@@ -7,16 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casametra.llm import archives, length_histogram, minhash, mixing, packing, substrings
-from casametra.llm.common import Stage, read
+from casametra.llm import archives, language, length_histogram, minhash, mixing, packing, quality, substrings
+from casametra.llm.common import Stage, id_crc, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read(spark, sf, "documents")
+    remainder = id_crc("doc_id") % 5
+    found = language.identify_languages(docs, learn=remainder != 0)
+    return found.select("doc_id", F.coalesce(remainder == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op2_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(read(spark, sf, "documents"), capacity=1024, end=2)
 
 
+def op3_quality(spark: SparkSession, sf: str) -> DataFrame:
+    remainder = id_crc("doc_id") % 3
+    found = quality.quality_scores(read(spark, sf, "documents"), read(spark, sf, "labels"), learn=remainder != 1)
+    return found.select("doc_id", F.coalesce(remainder == 1, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op4_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix_sources(read(spark, sf, "documents"))
 
@@ -45,7 +58,9 @@ def op10_warc(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_language_id,
         op2_best_fit_packing,
+        op3_quality,
         op4_mix_sources,
         op6_minhash_dedup,
         op7_token_counts,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casametra.llm import archives, language, length_histogram, minhash, mixing, packing, quality, substrings
+from casametra.llm import archives, language, length_histogram, minhash, mixing, packing, quality, simhash, substrings
 from casametra.llm.common import Stage, id_crc, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,10 @@ def op4_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix_sources(read(spark, sf, "documents"))
 
 
+def op5_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.edited_fingerprints(read(spark, sf, "documents"))
+
+
 def op6_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf, "documents"), size=2, percent=80)
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Query] = {
         op2_best_fit_packing,
         op3_quality,
         op4_mix_sources,
+        op5_simhash,
         op6_minhash_dedup,
         op7_token_counts,
         op9_substring_dedup,

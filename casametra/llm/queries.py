@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casametra.llm import archives, language, length_histogram, minhash, mixing, packing, quality, simhash, substrings
+from casametra.llm import archives, language, length_histogram, minhash, mixing, neighbours, packing, quality, simhash, substrings
 from casametra.llm.common import Stage, id_crc, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,10 @@ def op7_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return length_histogram.token_counts(read(spark, sf, "documents"))
 
 
+def op8_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    return neighbours.nearest(read(spark, sf, "embeddings"), is_query=F.col("vec_id") % 100 == 0, k=10)
+
+
 def op9_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     kept = substrings.remove_repeated(read(spark, sf, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -69,6 +73,7 @@ QUERIES: dict[str, Query] = {
         op5_simhash,
         op6_minhash_dedup,
         op7_token_counts,
+        op8_neighbours,
         op9_substring_dedup,
         op10_warc,
     )

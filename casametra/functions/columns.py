@@ -63,10 +63,15 @@ def iso_timestamp(value: Column) -> Column:
     )
 
 
+def log_timestamp(text: Column) -> Column:
+    """The time of a log timestamp; null for text of another form."""
+    has_form = text.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\.\d{1,6}$")
+    return F.when(has_form, F.try_to_timestamp(text))
+
+
 def iso_timestamp_or_text(text: Column) -> Column:
     """ISO form of a log timestamp; text of another form stays as it is."""
-    has_form = text.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\.\d{1,6}$")
-    return F.coalesce(iso_timestamp(F.when(has_form, F.try_to_timestamp(text))), text)
+    return F.coalesce(iso_timestamp(log_timestamp(text)), text)
 
 
 def null_if_nan(value: Column) -> Column:

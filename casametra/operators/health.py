@@ -42,25 +42,33 @@ def recent_invocations(
     invocations: DataFrame,
     now: Column,
     params: HealthParams = _DEFAULTS,
-    tie_breakers: Sequence[str] = (),
 ) -> DataFrame:
     """The last few invocations of each function, ``recency`` 1 the newest.
 
     Only log lines that close an invocation count, and only those within the
     lookback. An invocation succeeded when its line shows no sign of failure.
+    Of lines with one timestamp, failures count as newer, then longer ones, so
+    that the rows alone decide and never their order. Lines without a readable time
+    are the oldest; ``ts_text``, if there is such a column, is what is shown of them.
     """
     lookback = F.make_dt_interval(F.lit(params.lookback_days))
-    newest_first = [F.col("ts").desc(), *[F.col(c).desc() for c in tie_breakers]]
+    newest_first = [
+        F.col("ts").desc_nulls_last(),
+        F.col("message").rlike(FAILURE_PATTERN).desc(),
+        F.col("duration_ms").desc_nulls_last(),
+        F.col("message"),
+    ]
     recency = F.row_number().over(Window.partitionBy("function_name").orderBy(*newest_first))
     return (
         invocations.filter(F.col("message").contains(INVOCATION_PATTERN))
-        .filter((F.col("ts") >= now - lookback) & (F.col("ts") <= now))
+        .filter(F.col("ts").isNull() | ((F.col("ts") >= now - lookback) & (F.col("ts") <= now)))
         .withColumn("recency", recency)
         .filter(F.col("recency") <= params.history_window)
         .select(
             "function_name",
             "recency",
             "ts",
+            *[c for c in ("ts_text",) if c in invocations.columns],
             (~F.col("message").rlike(FAILURE_PATTERN)).alias("succeeded"),
             (F.coalesce("duration_ms", F.lit(0.0)) / 1000.0).alias("duration_seconds"),
         )
@@ -162,21 +170,34 @@ def _in_complete_months(day: Column, now: Column, months: int) -> Column:
 # --- request quota ----------------------------------------------------------
 
 
-def requests_of_pages(
-    pages: DataFrame, ts: Column, by_operation: Mapping[str, str] = CREDENTIAL_SET_BY_OPERATION
+def requests_of_attempts(
+    attempts: DataFrame, by_operation: Mapping[str, str] = CREDENTIAL_SET_BY_OPERATION
 ) -> DataFrame:
-    """One request per attempted page, charged to the operation's credentials."""
+    """One request per attempted page, charged to the operation's credentials.
+
+    ``attempts`` has the operation, the time ``ts`` and whether the page arrived
+    (``succeeded``). A failed call uses up quota like any other. Attempts of an
+    operation without credentials are charged to none.
+    """
     credential_set: Column | None = None
     for operation, name in by_operation.items():
         case = (F.col("operation") == operation, F.lit(name))
         credential_set = (
             F.when(*case) if credential_set is None else credential_set.when(*case)
         )
-    return pages.select(
-        credential_set.alias("credential_set"), ts.alias("ts"), F.lit(1.0).alias("value")
+    return attempts.select(
+        credential_set.alias("credential_set"), "ts", F.lit(1.0).alias("value")
     )
 
 
+def attempts_of_pages(pages: DataFrame, ts: Column) -> DataFrame:
+    """Attempts whose pages landed, from their decoded keys.
+
+    Without a log of the failed calls this is the least that was requested.
+    """
+    return pages.select("operation", ts.alias("ts"), F.lit(True).alias("succeeded"))
+
+
 def monthly_requests(
     requests: DataFrame, now: Column, params: HealthParams = _DEFAULTS
 ) -> DataFrame:
@@ -346,21 +367,3 @@ def stage_statuses(
     return listed.join(worst, "function_name", "left").select(
         "stage", "function_name", status_name(F.col("_worst")).alias("status")
     )
-
-
-__all__ = [
-    "api_quota",
-    "cost_by_month_and_service",
-    "cost_history",
-    "cost_matrix",
-    "execution_duration",
-    "execution_success",
-    "invocation_series",
-    "month_to_date_cost",
-    "monthly_requests",
-    "quota_series",
-    "recent_invocations",
-    "requests_of_pages",
-    "stage_statuses",
-    "worst_status",
-]

@@ -33,13 +33,13 @@ SEARCH_CONFIG = {
     "air_conditioning": True,
     "preservation": "good",
     "property_type": "homes",
-    "sale_credential_label": "LVW",
-    "rent_credential_label": "PMV",
+    "sale_credential_label": "sale_requests",
+    "rent_credential_label": "rent_requests",
 }
 
-# Request accounting and its labels.
-CREDENTIAL_SET_BY_OPERATION = {"sale": "LVW", "rent": "PMV"}
-CREDENTIAL_SET_LABELS = {"LVW": "sale", "PMV": "rent"}
+# Credentials that the requests of each operation are charged to, and their labels.
+CREDENTIAL_SET_BY_OPERATION = {"sale": "sale_requests", "rent": "rent_requests"}
+CREDENTIAL_SET_LABELS = {"sale_requests": "sale", "rent_requests": "rent"}
 
 # Cost services that do not count toward the budget.
 EXCLUDED_SERVICES = ("Amazon Registrar", "Amazon Route 53 Domains")

@@ -31,7 +31,10 @@ def _execution_check(
     """One row (status, summary, details) from a status per function."""
     invocation = F.struct(
         F.col("recency"),
-        iso_timestamp(F.col("ts")).alias("timestamp"),
+        F.coalesce(
+            iso_timestamp(F.col("ts")),
+            F.col("ts_text") if "ts_text" in recent.columns else F.lit(None).cast("string"),
+        ).alias("timestamp"),
         "succeeded",
         "duration_seconds",
     )

@@ -131,7 +131,8 @@ paged AS (
 runs AS (
   SELECT event_type AS function_name, ts, event_id, value * 1000 / 1000 AS duration_seconds,
     user_id % 29 <> 0 AS succeeded,
-    row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS recency
+    row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, user_id % 29 = 0 DESC,
+      value DESC NULLS LAST, CASE WHEN user_id % 29 = 0 THEN 1 ELSE 0 END) AS recency
   FROM events
   WHERE (user_id % 29 = 0 OR user_id % 31 <> 0)
     AND ts >= (SELECT max(ts) - INTERVAL 30 DAY FROM events)
@@ -687,9 +688,9 @@ _BODIES: dict[str, str] = {
         "ORDER BY month) - 1 AS pos, month, requests FROM monthly"
     ),
     "request_accounting": (
-        "SELECT CASE operation WHEN 'sale' THEN 'LVW' ELSE 'PMV' END AS credential_set, "
-        "strftime(date_trunc('month', snapshot_date), '%Y-%m-%d') AS month, "
-        "CAST(count(*) AS DOUBLE) AS requests FROM keys WHERE operation IS NOT NULL GROUP BY ALL"
+        "SELECT CASE l_linestatus WHEN 'O' THEN 'sale_requests' ELSE 'rent_requests' END "
+        "AS credential_set, strftime(date_trunc('month', l_shipdate), '%Y-%m-%d') AS month, "
+        "CAST(count(*) AS DOUBLE) AS requests FROM lineitem WHERE l_linenumber <> 7 GROUP BY ALL"
     ),
     "cost_mtd": (
         "SELECT status, included AS included_total, excluded AS excluded_total, "

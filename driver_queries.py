@@ -112,7 +112,7 @@ def orders_now(spark: SparkSession, sf: str) -> Column:
 def recent_runs(spark: SparkSession, sf: str) -> DataFrame:
     runs = views.invocations(spark, sf)
     now = runs.agg(F.max("ts")).scalar()
-    return health.recent_invocations(runs, now, views.HEALTH, ("event_id",))
+    return health.recent_invocations(runs, now, views.HEALTH)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -666,8 +666,8 @@ def quota_series(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def request_accounting(spark: SparkSession, sf: str) -> DataFrame:
-    pages = bronze.valid_keys(decoded_keys(spark, sf))
-    charged = health.requests_of_pages(pages, F.col("snapshot_date"))
+    """Every attempted page is charged, also those that never landed (lines 5 and 6)."""
+    charged = health.requests_of_attempts(views.attempts(spark, sf)).dropna(subset=["credential_set"])
     return charged.groupBy("credential_set", F.trunc("ts", "MM").alias("month")).agg(
         F.sum("value").alias("requests")
     ).withColumn("month", iso_date(F.col("month")))

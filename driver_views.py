@@ -179,7 +179,16 @@ def invocations(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("user_id") % 31 == 0, "START")
         .otherwise("REPORT")
         .alias("message"),
-        "event_id",
+    )
+
+
+def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page calls: one per lineitem row; some failed, some of an unknown operation."""
+    line = F.col("l_linenumber")
+    return table(spark, sf_dir, "lineitem").select(
+        F.when(line == 7, "auction").when(F.col("l_linestatus") == "O", "sale").otherwise("rent").alias("operation"),
+        F.col("l_shipdate").alias("ts"),
+        (~line.isin(5, 6)).alias("succeeded"),
     )
 
 

@@ -101,39 +101,42 @@ def requests(spark, *rows):
     "n, status", [(79, "green"), (80, "yellow"), (94, "yellow"), (95, "red")]
 )
 def test_quota_thresholds(spark, n, status):
-    monthly = health.monthly_requests(requests(spark, ("LVW", "2026-03-31", n)), now())
+    monthly = health.monthly_requests(requests(spark, ("sale_requests", "2026-03-31", n)), now())
     by_name = {r["credential_set"]: r for r in records(health.api_quota(monthly))}
-    assert by_name["LVW"]["status"] == status
-    assert by_name["LVW"]["label"] == "sale"
-    assert by_name["PMV"]["status"] == "green"
-    assert list(by_name["PMV"]["monthly_requests"].values()) == [0.0] * 5
+    assert by_name["sale_requests"]["status"] == status
+    assert by_name["sale_requests"]["label"] == "sale"
+    assert by_name["rent_requests"]["status"] == "green"
+    assert list(by_name["rent_requests"]["monthly_requests"].values()) == [0.0] * 5
 
 
 def test_quota_counts_complete_months_only(spark):
     monthly = health.monthly_requests(
         requests(
             spark,
-            ("LVW", "2026-06-01", 500),
-            ("LVW", "2025-12-31", 500),
-            ("LVW", "2026-01-01", 3),
-            ("LVW", "2026-01-31", 4),
-            ("LVW", "2026-05-31", 5),
+            ("sale_requests", "2026-06-01", 500),
+            ("sale_requests", "2025-12-31", 500),
+            ("sale_requests", "2026-01-01", 3),
+            ("sale_requests", "2026-01-31", 4),
+            ("sale_requests", "2026-05-31", 5),
             ("other", "2026-05-31", 500),
         ),
         now(),
     )
     quota = health.api_quota(monthly)
     by_name = {r["credential_set"]: r for r in records(health.quota_series(quota))}
-    assert set(by_name) == {"LVW", "PMV"}
-    assert by_name["LVW"]["months"] == ["2026-01", "2026-02", "2026-03", "2026-04", "2026-05"]
-    assert by_name["LVW"]["values"] == [7.0, 0.0, 0.0, 0.0, 5.0]
+    assert set(by_name) == {"sale_requests", "rent_requests"}
+    assert by_name["sale_requests"]["months"] == ["2026-01", "2026-02", "2026-03", "2026-04", "2026-05"]
+    assert by_name["sale_requests"]["values"] == [7.0, 0.0, 0.0, 0.0, 5.0]
 
 
 def test_attempted_pages_are_charged_by_operation(spark):
-    pages = spark.createDataFrame([("sale",), ("sale",), ("rent",)], "operation string")
-    charged = health.requests_of_pages(pages, F.current_timestamp())
+    attempts = spark.createDataFrame(
+        [("sale", NOON, True), ("sale", NOON, False), ("rent", NOON, True), ("auction", NOON, True)],
+        "operation string, ts timestamp, succeeded boolean",
+    )
+    charged = health.requests_of_attempts(attempts).dropna(subset=["credential_set"])
     totals = charged.groupBy("credential_set").agg(F.sum("value").alias("n"))
-    assert {r["credential_set"]: r["n"] for r in records(totals)} == {"LVW": 2.0, "PMV": 1.0}
+    assert {r["credential_set"]: r["n"] for r in records(totals)} == {"sale_requests": 2.0, "rent_requests": 1.0}
 
 
 def costs(spark, *rows):
@@ -216,7 +219,7 @@ def test_document_isolates_a_failing_check(spark, runs):
     params = HealthParams(function_names=("fn", "absent"))
     named = checks(
         runs(OK, BAD),
-        requests(spark, ("PMV", "2026-05-01", 80)),
+        requests(spark, ("rent_requests", "2026-05-01", 80)),
         costs(spark, ("2026-06-02", "Compute", "1.50"), ("2026-04-02", "Compute", "3.10")),
         now(),
         params,
@@ -233,7 +236,7 @@ def test_document_isolates_a_failing_check(spark, runs):
     absent = doc["execution_duration"]["details"]["functions"]["absent"]
     assert absent == {"status": "yellow", "insufficient_history": True, "invocations_checked": 0}
     quota = doc["api_quota"]["details"]["credential_sets"]
-    assert quota["PMV"]["monthly_requests"]["2026-05"] == 80.0
+    assert quota["rent_requests"]["monthly_requests"]["2026-05"] == 80.0
     history = doc["aws_cost"]["details"]["monthly_cost_by_service"]
     assert [m["month"] for m in history][0] == "2026-01" and len(history) == 5
     assert history[3]["services"] == {"Compute": 3.1}
@@ -257,6 +260,45 @@ def test_written_document_is_read_back(spark, runs, tmp_path):
     row = read_health(spark, path).first()
     assert row.overall_status == "green"
     assert row.execution_success.details.functions["fn"].insufficient_history
-    assert row.api_quota.details.credential_sets["LVW"].monthly_requests["2026-01"] == 0.0
+    assert row.api_quota.details.credential_sets["sale_requests"].monthly_requests["2026-01"] == 0.0
     assert row.aws_cost.details.monthly_cost_by_service[3].services == {"Compute": 3.1}
     assert read_health(spark, str(tmp_path / "none")) is None
+
+
+def test_status_does_not_depend_on_the_order_of_rows(spark):
+    """Eight lines with one timestamp, one of them failed."""
+    lines = [("fn", NOON, 1000.0 * k, "REPORT ERROR" if k == 3 else "REPORT") for k in range(8)]
+    found = set()
+    for turn in (lines, lines[::-1], lines[4:] + lines[:4], lines[1::2] + lines[::2]):
+        frame = spark.createDataFrame(turn, INVOCATIONS_SCHEMA).repartition(3)
+        recent = health.recent_invocations(frame, now(), ONE)
+        shown = tuple((r["recency"], r["duration_seconds"], r["succeeded"]) for r in recent.orderBy("recency").collect())
+        (row,) = records(health.execution_success(recent, ONE))
+        found.add((row["status"], shown))
+    assert len(found) == 1
+    assert found.pop()[0] == "red"
+
+
+def test_health_tables_are_read_from_exports(spark, tmp_path):
+    from casametra.sources.health_tables import read_costs, read_invocations, read_requests
+
+    def export(name, *rows):
+        (tmp_path / name).write_text("".join(json.dumps(r) + "\n" for r in rows))
+        return str(tmp_path / name)
+
+    runs = read_invocations(spark, export(
+        "runs.json",
+        {"function_name": "fn", "timestamp": "2026-06-15 11:00:00.000", "duration_ms": 5.0, "message": "REPORT"},
+        {"function_name": "fn", "timestamp": "yesterday", "message": "REPORT ERROR"},
+    ))
+    recent = health.recent_invocations(runs, now(), ONE)
+    assert [(r["recency"], r["succeeded"], r["ts_text"]) for r in recent.orderBy("recency").collect()] == [
+        (1, True, "2026-06-15T11:00:00"), (2, False, "yesterday"),
+    ]
+    named = checks(runs, read_requests(spark, export("r.json", {"credential_set": "sale_requests", "timestamp": "2026-05-01 00:00:00.0", "value": 80})),
+                   read_costs(spark, export("c.json", {"day": "2026-06-01", "service": "Compute", "amount": "1.50"})), now(), ONE)
+    doc = json.loads(health_document(spark, named, NOON).first()[0])
+    stamps = [r["timestamp"] for r in doc["execution_success"]["details"]["functions"]["fn"]["recent_invocations"]]
+    assert stamps == ["2026-06-15T11:00:00", "yesterday"]
+    assert doc["api_quota"]["details"]["credential_sets"]["sale_requests"]["monthly_requests"]["2026-05"] == 80.0
+    assert doc["aws_cost"]["details"]["included_total_usd"] == 1.5

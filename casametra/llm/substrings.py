@@ -30,6 +30,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,7 +46,7 @@ SEGMENT_BITS = 16
 #: Segments that are added up together.
 SEGMENTS_TOGETHER = 128
 #: Windows that a task holds before it writes a block.
-BLOCK_WINDOWS = 4_000_000
+BLOCK_WINDOWS = 3_000_000
 #: Windows in one part of the second pass.
 PART_WINDOWS = 1_000_000
 #: Bytes of text in one group of the third pass.
@@ -167,9 +168,9 @@ def group_of(doc: np.ndarray, groups: int) -> np.ndarray:
 
 
 def candidate_blocks(docs: DataFrame, sketch, parts: int, groups: int, window: int = WINDOW) -> DataFrame:
-    """Windows in repeated cells, as blocks.
+    """Windows in repeated cells, as blocks by part.
 
-    Blocks with a part hold entries still to compare; blocks with a group hold windows
+    Blocks without a group hold entries still to compare; blocks with one hold windows
     known to go, as a smaller document of the same task has them.
     """
 
@@ -180,7 +181,7 @@ def candidate_blocks(docs: DataFrame, sketch, parts: int, groups: int, window: i
         if n:
             none = pa.nulls(n, pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(n, pa.int64()), gone.column(0), none, none, gone.column(1), gone.column(2)], NAMES
+                [pa.array(gone.column(0).to_numpy() % parts), gone.column(0), none, none, gone.column(1), gone.column(2)], NAMES
             )
         h1, h2, doc, where = h1[smallest], h2[smallest], doc[smallest], where[smallest]
         part = (h2 % np.uint64(parts)).astype(np.int64)
@@ -224,18 +225,24 @@ NAMES = ["part", "group", "hash1", "hash2", "docs", "at"]
 
 
 def compared(blocks: DataFrame, parts: int, groups: int) -> DataFrame:
-    """Windows of the parts that a smaller document has: group, docs, at."""
+    """Windows of the parts that a smaller document has: group, docs, at.
+
+    Blocks of windows known to go pass through, so that blocks are shuffled, not stored.
+    """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = [[], [], [], []]
         for batch in batches:
+            known = pa.compute.is_valid(batch.column("group"))
+            yield batch.filter(known).select(["group", "docs", "at"])
+            batch = batch.filter(pa.compute.invert(known))
             for into, name, kind in zip(held, NAMES[2:], (np.uint64, np.uint32, np.int64, np.uint32), strict=True):
                 into += [np.frombuffer(x.as_buffer(), dtype=kind) for x in batch.column(name)]
         if held[0]:
             _, _, doc, at, smallest = _split(*map(np.concatenate, held))
             yield _removal_rows(doc[~smallest], at[~smallest], groups)
 
-    return blocks.filter(F.col("part").isNotNull()).repartition(parts, "part").select(*NAMES[2:]).mapInArrow(
+    return blocks.repartition(parts, "part").select(*NAMES[1:]).mapInArrow(
         compare, "group long, docs binary, at binary"
     )
 
@@ -272,9 +279,7 @@ def remove_repeated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(32, size // GROUP_OF_TEXT)
 
-    blocks = stage.table(candidate_blocks(docs, shared, parts, groups, window), "candidates")
-    known = blocks.filter(F.col("group").isNotNull()).select("group", "docs", "at")
-    removals = known.unionByName(compared(blocks, parts, groups))
+    removals = compared(candidate_blocks(docs, shared, parts, groups, window), parts, groups)
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -297,6 +297,16 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80) -> DataFr
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def representatives(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The documents, with all their columns, that stand for their group: its smallest id.
+
+    Of repeated rows one stays. Rows without an id can't be told apart and all stay.
+    """
+    kept = near_duplicates(docs, size, percent).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
+    known = docs.filter(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return known.select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
+
+
 def size_allows(n: Column, m: Column, percent: int) -> Column:
     """Whether sets of these sizes can be similar enough."""
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)

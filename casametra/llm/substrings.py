@@ -250,11 +250,11 @@ def compared(blocks: DataFrame, parts: int, groups: int) -> DataFrame:
 # --- pass 3: removal --------------------------------------------------------
 
 
-def kept_words(text: str | None, starts: np.ndarray, window: int) -> tuple[str, int, int]:
+def kept_words(text: str | None, starts: np.ndarray, window: int, keep_layout: bool) -> tuple[str | None, int, int]:
     """The kept words joined by one space, the number of words and of those removed."""
     words = (text or "").encode().split()
     if not len(starts):
-        return b" ".join(words).decode(), len(words), 0
+        return text if keep_layout else b" ".join(words).decode(), len(words), 0
     change = np.zeros(len(words) + 1, dtype=np.int64)
     np.add.at(change, starts, 1)
     np.add.at(change, starts + window, -1)
@@ -264,9 +264,33 @@ def kept_words(text: str | None, starts: np.ndarray, window: int) -> tuple[str,
 
 def remove_repeated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """Per row: doc_id, n_words, n_removed and kept_text, the kept words joined by one space."""
+    return _removed(docs.select("doc_id", "text"), window, keep_layout=False).select(
+        "doc_id", "n_words", "n_removed", F.col("text").alias("kept_text")
+    )
+
+
+def documents_without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The documents with all their columns and what is kept of their texts.
+
+    Texts that lose nothing stay as they are; ``n_chars``, if there is such a column, follows
+    the text.
+    """
+    out = _removed(docs, window, keep_layout=True).drop("n_words", "n_removed")
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
+
+
+def _removed(docs: DataFrame, window: int, keep_layout: bool) -> DataFrame:
+    """The columns of the documents, the text less its repeated words, n_words and n_removed."""
     spark = docs.sparkSession
     stage = Stage(spark, "substrings")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    carried = [c for c in docs.columns if c not in ("doc_id", "text")]
+    names = {c: f"_c{k}" for k, c in enumerate(carried)}
+    docs = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", *[docs[f"`{c}`"].alias(n) for c, n in names.items()]
+    )
+    kinds = "".join(f", {n} {docs.schema[n].dataType.simpleString()}" for n in names.values())
     sketch = stage.table(merged_sketch(partial_sketches(docs, window)), "sketch")
     totals = sketch.agg(F.sum("windows")).first()[0] or 0
     bits = np.zeros((SEGMENTS, (1 << SEGMENT_BITS) // 8), dtype=np.uint8)
@@ -288,7 +312,7 @@ def remove_repeated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             group = np.where(doc.is_null().to_numpy(zero_copy_only=False), np.arange(len(doc)) % groups, group_of(known_id, groups))
             yield pa.RecordBatch.from_arrays([pa.array(group), *batch.columns], ["group", *batch.schema.names])
 
-    grouped = docs.mapInArrow(number, "group long, doc_id long, text string")
+    grouped = docs.mapInArrow(number, "group long, doc_id long, text string" + kinds)
 
     def remove(texts: pa.Table, found: pa.Table) -> pa.Table:
         doc = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x.as_buffer(), np.int64) for x in found.column("docs"))])
@@ -301,15 +325,15 @@ def remove_repeated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         text, n_words, n_removed = [], [], []
         for k, value in enumerate(texts.column("text")):
             starts = at[low[k] : high[k]] if ids[k] is not None else at[:0]
-            kept, n, gone = kept_words(value.as_py(), starts, window)
+            kept, n, gone = kept_words(value.as_py(), starts, window, keep_layout)
             text.append(kept)
             n_words.append(n)
             n_removed.append(gone)
-        return pa.table(
-            {"doc_id": texts.column("doc_id"), "n_words": pa.array(n_words, pa.int64()),
-             "n_removed": pa.array(n_removed, pa.int64()), "kept_text": pa.array(text, pa.string())}
-        )
+        columns = {"doc_id": texts.column("doc_id"), "text": pa.array(text, pa.string())}
+        columns |= {n: texts.column(n) for n in names.values()}
+        return pa.table(columns | {"n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64())})
 
-    return grouped.groupBy("group").cogroup(removals.groupBy("group")).applyInArrow(
-        remove, "doc_id long, n_words long, n_removed long, kept_text string"
+    done = grouped.groupBy("group").cogroup(removals.groupBy("group")).applyInArrow(
+        remove, f"doc_id long, text string{kinds}, n_words long, n_removed long"
     )
+    return done.select("doc_id", "text", *[F.col(n).alias(c) for c, n in names.items()], "n_words", "n_removed")

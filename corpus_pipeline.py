@@ -1,4 +1,8 @@
-"""Corpus preparation: quality, near-copies, repeated passages, mixing, packing."""
+"""Corpus preparation: quality, near-copies, repeated passages, mixing, packing.
+
+Each stage takes the documents that the stage before it kept and returns those it keeps,
+with the columns of documents; the last returns the packed pieces.
+"""
 
 from __future__ import annotations
 
@@ -6,19 +10,50 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from casametra.llm.common import id_crc
+from casametra.llm.minhash import representatives
 from casametra.llm.mixing import mixed_documents
+from casametra.llm.packing import pack
+from casametra.llm.quality import accepted
+from casametra.llm.substrings import documents_without_repeats
 from casametra.staging import shared_dir
 
 
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return accepted(docs, labels, learn=id_crc("doc_id") % 3 != 1)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of each group of near-copies."""
+    return representatives(docs, size=5, percent=80)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without passages that an earlier document has."""
+    return documents_without_repeats(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources takes it."""
     return mixed_documents(docs)
 
 
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces with their places in sequences of 1024 tokens."""
+    return pack(docs, capacity=1024, end=2)
+
+
 STAGES = [
-    ("mixing", mix),
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("mixing", mixing),
+    ("packing", packing),
 ]
 
-#: The stages tokenize, learn and hash, which SQL can't express.
+#: The stages learn, hash and tokenize, which SQL can't express.
 ORACLE_SQL = None
 
 
@@ -26,10 +61,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every stage in turn, each over the written rows of the one before."""
     root = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (name, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        if k == len(STAGES) - 1:
-            return out
-        out.write.parquet(f"{root}/{name}")
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{root}/{name}")
         docs = spark.read.parquet(f"{root}/{name}")
     return docs

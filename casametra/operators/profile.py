@@ -21,6 +21,14 @@ NUMERIC_COLUMNS = (
     "bathrooms",
 )
 
+#: Columns of the correlation: booleans count as 0 and 1.
+CORRELATED_COLUMNS = (*NUMERIC_COLUMNS, "exterior", "newDevelopment", "hasLift")
+
+
+def _number(column: str) -> Column:
+    """A column as a double; text that is no number is unknown."""
+    return F.col(column).try_cast("double")
+
 
 def download_volume(listings: DataFrame) -> DataFrame:
     """Listings per snapshot and operation."""
@@ -87,20 +95,22 @@ def neighborhood_order(listings: DataFrame) -> DataFrame:
 def describe(
     listings: DataFrame,
     keys: Sequence[str] = ("operation",),
-    columns: Sequence[str] = NUMERIC_COLUMNS,
+    columns: Sequence[str] = (*NUMERIC_COLUMNS, "distance"),
     keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Count, mean, deviation, extremes and exact quartiles of each column.
 
-    One row per group and column; columns without a known value give none. For
-    ``keep`` see ``exact_quantiles``.
+    One row per group and column; columns without a known value give none. Text columns
+    count as numbers where they are. Means and deviations come from one aggregation over
+    the listings as they are; values are listed by column only to be counted, before any
+    shuffle. For ``keep`` see ``exact_quantiles``.
     """
     long = listings.select(
         *keys,
         F.inline(
             F.array(
                 *[
-                    F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
+                    F.struct(F.lit(c).alias("column"), _number(c).alias("value"))
                     for c in columns
                 ]
             )
@@ -109,8 +119,26 @@ def describe(
     groups = (*keys, "column")
     summary = exact_quantiles(long, groups, "value", QUARTILES, keep)
 
-    moments = long.groupBy(*groups).agg(
-        F.avg("value").alias("mean"), F.stddev_samp("value").alias("std")
+    wide = listings.groupBy(*keys).agg(
+        *[
+            F.struct(F.avg(_number(c)).alias("mean"), F.stddev_samp(_number(c)).alias("std")).alias(f"m{i}")
+            for i, c in enumerate(columns)
+        ]
+    )
+    moments = wide.select(
+        *keys,
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(c).alias("column"),
+                        F.col(f"m{i}.mean").alias("mean"),
+                        F.col(f"m{i}.std").alias("std"),
+                    )
+                    for i, c in enumerate(columns)
+                ]
+            )
+        ),
     )
     return summary.join(moments, on=[*groups]).select(
         *groups, "count", "mean", "std", "min", *QUARTILES, "max"
@@ -135,14 +163,14 @@ def _correlation(a: str, b: str) -> Column:
 
 
 def correlation_pairs(
-    listings: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS
+    listings: DataFrame, columns: Sequence[str] = CORRELATED_COLUMNS
 ) -> DataFrame:
     """Absolute correlation of each pair of columns, from one aggregation.
 
     Each pair uses the rows where both columns are known; it is null when one
     of them is constant.
     """
-    doubles = listings.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    doubles = listings.select(*[_number(c).alias(c) for c in columns])
     pairs = list(combinations(columns, 2))
     row = doubles.agg(
         *[F.abs(_correlation(a, b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]
@@ -174,7 +202,7 @@ def redundant_columns(pairs: DataFrame, threshold: float = 0.95) -> DataFrame:
 
 def drop_redundant(
     listings: DataFrame,
-    columns: Sequence[str] = NUMERIC_COLUMNS,
+    columns: Sequence[str] = CORRELATED_COLUMNS,
     threshold: float = 0.95,
 ) -> DataFrame:
     """The listings without their redundant columns.

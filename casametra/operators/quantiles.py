@@ -4,8 +4,10 @@ Spark's ``percentile`` keeps all distinct values of a group in one buffer. With
 two operations and a few dozen neighborhoods a group may hold a third of all
 rows, so the quantiles are found by rank instead: values fall into buckets that
 follow their order, and the running totals of the buckets say in which bucket
-each wanted rank lies. Only those few buckets are then counted by value and put
-in order. No task ever sees more than one bucket of a group.
+each wanted rank lies. Each of those few buckets is then cut again, evenly between its
+own smallest and largest value, a fixed number of times, so that buckets follow the data
+also where values lie close together, as coordinates do. What is left is
+counted by value and put in order. No task sees more than one such bucket of a group.
 """
 
 from __future__ import annotations
@@ -18,6 +20,10 @@ from pyspark.sql import Window
 
 _BUCKETS_PER_E_FOLD = 512
 
+#: Rounds of cutting the wanted buckets, and the parts of a bucket in each.
+REFINEMENTS = 1
+_PARTS = 4096
+
 
 def _bucket(value: Column) -> Column:
     """A bucket number that never decreases as the value grows.
@@ -28,6 +34,17 @@ def _bucket(value: Column) -> Column:
     return F.floor(F.signum(value) * F.log1p(F.abs(value)) * _BUCKETS_PER_E_FOLD)
 
 
+def _bucket_sums(rows: DataFrame, within: Sequence[str], bucket: str, before: Column) -> DataFrame:
+    """Rows, extremes and running total (after ``before``) of each bucket."""
+    sums = rows.groupBy(*within, bucket).agg(
+        F.sum("_n").alias("_bn"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
+    )
+    up_to_bucket = (
+        Window.partitionBy(*within).orderBy(bucket).rowsBetween(Window.unboundedPreceding, 0)
+    )
+    return sums.withColumn("_before", before + F.sum("_bn").over(up_to_bucket) - F.col("_bn"))
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -40,7 +57,7 @@ def exact_quantiles(
     Null values and null keys are left out; groups without values give no row.
     Quantiles interpolate linearly between the two nearest ranks.
 
-    ``keep`` may store the list of wanted buckets as a table. Its size is then
+    ``keep`` may store each list of wanted buckets as a table. Its size is then
     known when the join is planned: a short list is broadcast, and the rows are
     read twice but never shuffled. Without ``keep`` the rows are counted by
     value first, so that repeated values cross the shuffle once.
@@ -52,22 +69,14 @@ def exact_quantiles(
         known = known.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
     else:
         known = known.withColumn("_n", F.lit(1).cast("bigint"))
-    rows = known.withColumn("_b", _bucket(F.col("_v")))
+    rows = known.withColumn("_b0", _bucket(F.col("_v")))
 
     in_group = Window.partitionBy(*keys)
-    up_to_bucket = in_group.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    buckets = (
-        rows.groupBy(*keys, "_b")
-        .agg(F.sum("_n").alias("_bn"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-        .select(
-            *keys,
-            "_b",
-            (F.sum("_bn").over(up_to_bucket) - F.col("_bn")).alias("_before"),
-            "_bn",
-            F.sum("_bn").over(in_group).alias("_total"),
-            F.min("_lo").over(in_group).alias("_min"),
-            F.max("_hi").over(in_group).alias("_max"),
-        )
+    buckets = _bucket_sums(rows, keys, "_b0", F.lit(0)).select(
+        *keys, "_b0", "_before", "_bn", "_lo", "_hi",
+        F.sum("_bn").over(in_group).alias("_total"),
+        F.min("_lo").over(in_group).alias("_min"),
+        F.max("_hi").over(in_group).alias("_max"),
     )
 
     last_rank = F.col("_total") - 1
@@ -75,26 +84,34 @@ def exact_quantiles(
         name: (F.floor(last_rank * p), F.ceil(last_rank * p)) for name, p in quantiles.items()
     }
 
-    def any_rank_between(first: Column, last: Column) -> Column:
+    def wanted(found: DataFrame) -> DataFrame:
+        first, last = F.col("_before"), F.col("_before") + F.col("_bn") - 1
         hit = F.lit(False)
         for low, high in ranks.values():
             hit = hit | low.between(first, last) | high.between(first, last)
-        return hit
-
-    wanted = buckets.filter(
-        any_rank_between(F.col("_before"), F.col("_before") + F.col("_bn") - 1)
-    ).drop("_bn")
-    if keep is not None:
-        wanted = keep(wanted)
+        chosen = found.filter(hit).drop("_bn")
+        return chosen if keep is None else keep(chosen)
+
+    of_group = ("_total", "_min", "_max")
+    path = ["_b0"]
+    chosen = wanted(buckets)
+    for k in range(1, REFINEMENTS + 1):
+        inner = rows.join(chosen, on=[*keys, *path])
+        share = F.try_divide(F.col("_v") - F.col("_lo"), F.col("_hi") - F.col("_lo"))
+        inner = inner.withColumn(f"_b{k}", F.coalesce(F.floor(share * _PARTS), F.lit(0)))
+        rows = inner.select(*keys, "_v", "_n", *path, f"_b{k}")
+        sums = _bucket_sums(
+            inner.drop("_lo", "_hi"), (*keys, *path, *of_group, "_before"), f"_b{k}", F.col("_before")
+        )
+        path.append(f"_b{k}")
+        chosen = wanted(sums.select(*keys, *path, *of_group, "_before", "_bn", "_lo", "_hi"))
 
-    of_bucket = (*keys, "_b", "_before", "_total", "_min", "_max")
+    of_bucket = (*keys, *path, "_before", *of_group)
     counted = (
-        rows.join(wanted, on=[*keys, "_b"])
-        .groupBy(*of_bucket, "_v")
-        .agg(F.sum("_n").alias("_n"))
+        rows.join(chosen, on=[*keys, *path]).groupBy(*of_bucket, "_v").agg(F.sum("_n").alias("_n"))
     )
     up_to_value = (
-        Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy(*keys, *path).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     )
     ordered = counted.withColumn(
         "_last", F.col("_before") + F.sum("_n").over(up_to_value) - 1

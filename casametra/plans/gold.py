@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import partial
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from casametra.operators.dedup import first_per_snapshot, latest_per_property
 from casametra.operators.filters import in_scope, in_window, latest_date, relevant
 from casametra.operators.locations import listing_locations, location_grid
 from casametra.params import GOLD_SCHEMA_VERSION, SEARCH_CONFIG, MarketParams
-from casametra.schemas import ORDINAL_COLUMNS
+from casametra.schemas import ORDINAL_COLUMNS, TABLE_DATASETS
 from casametra.sources.documents import block, document, write_document
 from casametra.staging import Staging
 
@@ -39,10 +40,11 @@ class TrendInputs:
     name: str = "general"
 
     def keep_as(self, part: str) -> Callable[[DataFrame], DataFrame] | None:
-        """A way to store an intermediate result, when the job stages at all."""
+        """A way to store intermediate results in turn, when the job stages at all."""
         if self.stage is None:
             return None
-        return lambda df: self.stage.table(df, f"{self.name}/{part}")
+        number = count()
+        return lambda df: self.stage.table(df, f"{self.name}/{part}-{next(number)}")
 
 
 @dataclass(frozen=True)
@@ -225,20 +227,17 @@ def gold_document(
     generated_at: Column,
     params: MarketParams = MarketParams(),
     search_config: Mapping[str, object] | None = SEARCH_CONFIG,
-    left_out: Sequence[tuple[str, str]] = (),
+    tables: str = "",
 ) -> DataFrame:
     """The nested gold document as one row of JSON text.
 
-    Datasets named in ``left_out`` stay tables and are null in the document.
+    The datasets of ``TABLE_DATASETS`` are given by their place below ``tables``,
+    whatever their size.
     """
 
     def dataset_block(name: str) -> Column:
-        small = {n: df for n, df in blocks[name].items() if (name, n) not in left_out}
-        body = block(small) if small else F.struct()
-        for n in blocks[name]:
-            if (name, n) in left_out:
-                body = body.withField(n, F.lit(None).cast("string"))
-        return body
+        places = {n: f"{tables}/{name}/{n}" for n in blocks[name] if n in TABLE_DATASETS}
+        return block(blocks[name], places)
 
     basis = dataset_block("data_basis")
     if search_config is not None:
@@ -271,12 +270,11 @@ def gold_document(
 
 @dataclass(frozen=True)
 class GoldResult:
-    """Where the gold layer went, and which datasets are tables only."""
+    """Where the gold layer went, and the rows of each dataset."""
 
     tables: str
     document: str
     rows: dict[tuple[str, str], int] = field(default_factory=dict)
-    tables_only: tuple[tuple[str, str], ...] = ()
 
 
 def write_gold(
@@ -286,13 +284,10 @@ def write_gold(
     generated_at: Column,
     params: MarketParams = MarketParams(),
     order: Sequence[str] = ORDINAL_COLUMNS,
-    max_document_rows: int = 100_000,
 ) -> GoldResult:
-    """Write every dataset as a table, and the small ones as one document.
+    """Write every dataset as a table, and those bounded by calendar and map as a document.
 
-    Tables are always whole. A document is one row and passes through one task,
-    so a dataset with more than ``max_document_rows`` records is null there and
-    named in the result.
+    Which dataset goes where depends on its name alone (``TABLE_DATASETS``).
     """
     tables, doc = f"{root}/tables", f"{root}/latest"
     with Staging(spark) as stage:
@@ -310,11 +305,8 @@ def write_gold(
     written: Blocks = {}
     for (block_name, name), (table, _) in stored.items():
         written.setdefault(block_name, {})[name] = table
-    tables_only = tuple(job for job, n in rows.items() if n > max_document_rows)
-    write_document(
-        gold_document(spark, written, generated_at, params, left_out=tables_only), doc
-    )
-    return GoldResult(tables, doc, rows, tables_only)
+    write_document(gold_document(spark, written, generated_at, params, tables=tables), doc)
+    return GoldResult(tables, doc, rows)
 
 
 #: Most datasets are small; written one after another they would leave a

@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from casametra.operators.cleaning import to_stored
 from casametra.operators.snapshots import (
@@ -23,6 +24,7 @@ from casametra.sources.bronze import (
     explode_elements,
     list_keys,
     scan_pages,
+    skipped_keys,
     valid_keys,
 )
 from casametra.sources.silver_table import write_snapshots, written_snapshots
@@ -30,10 +32,15 @@ from casametra.sources.silver_table import write_snapshots, written_snapshots
 
 @dataclass(frozen=True)
 class CleaningResult:
-    """What one run wrote: (operation, snapshot date, rows) of each partition."""
+    """What one run wrote: (operation, snapshot date, rows) of each partition.
+
+    ``skipped_keys`` has the page keys that did not decode, ``skipped`` their number.
+    """
 
     written: tuple[tuple[str, date, int], ...]
     snapshots_found: bool
+    skipped: int = 0
+    skipped_keys: DataFrame | None = None
 
     @property
     def rows_written(self) -> int:
@@ -79,7 +86,10 @@ def _run(
             raise
         return CleaningResult((), snapshots_found=False)
 
-    chosen = snapshots_of(valid_keys(decode_keys(keys)))
+    decoded = decode_keys(keys)
+    bad = skipped_keys(decoded)
+    n_bad = bad.count()
+    chosen = snapshots_of(valid_keys(decoded))
     if target_date is not None:
         chosen = snapshots_on(chosen, target_date)
     elif not everything:
@@ -88,30 +98,39 @@ def _run(
     # One row per operation and snapshot date: as many as the calendar has.
     todo = unwritten(chosen, written_snapshots(spark, silver_root)).select(*SNAPSHOT).collect()
     if not todo:
-        return CleaningResult((), snapshots_found=not chosen.isEmpty())
+        return CleaningResult((), not chosen.isEmpty(), n_bad, bad)
 
     pages = scan_pages(spark, bronze_root, [tuple(row) for row in todo])
     write_snapshots(to_stored(explode_elements(pages), bounds), silver_root)
-    return CleaningResult(_written_rows(spark, silver_root, todo), snapshots_found=True)
+    return CleaningResult(_written_rows(spark, silver_root, todo), True, n_bad, bad)
 
 
 def _written_rows(
     spark: SparkSession, silver_root: str, todo: Sequence[tuple[str, date]]
 ) -> tuple[tuple[str, date, int], ...]:
-    """Row counts of the partitions just written, from the file footers.
+    """Row counts of the partitions just written.
 
     A snapshot all of whose listings were dropped has no partition.
     """
-    wanted = spark.createDataFrame(todo, "operation string, snapshot_date date")
     try:
         stored = spark.read.parquet(silver_root)
     except AnalysisException:
         return ()
-    counts = (
-        stored.select(*SNAPSHOT)
-        .join(wanted, list(SNAPSHOT), "left_semi")
-        .groupBy(*SNAPSHOT)
-        .count()
-        .orderBy(*SNAPSHOT)
-    )
-    return tuple(tuple(row) for row in counts.collect())
+    return tuple(tuple(row) for row in partition_counts(stored, todo).collect())
+
+
+def partition_counts(stored: DataFrame, todo: Sequence[tuple[str, date]]) -> DataFrame:
+    """Rows of some partitions of the history.
+
+    The partitions are named by literals, so that only theirs are scanned, and counted
+    within each task: what is shuffled is a count, not a listing.
+    """
+    days: dict[str, list[date]] = {}
+    for operation, day in todo:
+        days.setdefault(operation, []).append(day)
+    wanted = F.lit(False)
+    for operation, of_operation in days.items():
+        wanted = wanted | (
+            (F.col("operation") == operation) & F.col("snapshot_date").isin(of_operation)
+        )
+    return stored.filter(wanted).groupBy(*SNAPSHOT).count().orderBy(*SNAPSHOT)

@@ -120,7 +120,7 @@ _RATIO = (
 )
 _BOX = (("count", _L), ("min", _D), ("q1", _D), ("median", _D), ("q3", _D), ("max", _D))
 
-#: Record shape of every gold dataset, keyed by its name in the document.
+# Record shape of every gold dataset, keyed by its name in the document.
 DATASET_TYPES: dict[str, T.ArrayType] = {
     "price_time_series_neighborhood": _records(
         ("operation", _S), *_PLACE, ("snapshot_date", _S), *_MEANS
@@ -172,8 +172,15 @@ DATA_BASIS_DATASETS = (
 )
 
 
+#: Datasets with a row per property. They are tables of their own; the document names
+#: the place. All others are bounded by the calendar and the map, and are in the document.
+TABLE_DATASETS = ("listing_locations_last_3m",)
+
+
 def _block(names: tuple[str, ...]) -> T.StructType:
-    return T.StructType([T.StructField(n, DATASET_TYPES[n]) for n in names])
+    return T.StructType(
+        [T.StructField(n, _S if n in TABLE_DATASETS else DATASET_TYPES[n]) for n in names]
+    )
 
 
 #: The part of the gold document that holds datasets, as readers parse it.

@@ -26,8 +26,15 @@ def record_list(df: DataFrame) -> Column:
     return df.agg(F.sort_array(F.collect_list(F.struct(*fields)))).scalar()
 
 
-def block(datasets: Mapping[str, DataFrame]) -> Column:
-    return F.struct(*[record_list(df).alias(name) for name, df in datasets.items()])
+def block(datasets: Mapping[str, DataFrame], locations: Mapping[str, str] | None = None) -> Column:
+    """A struct of datasets; those in ``locations`` are named by their place instead."""
+    places = locations or {}
+    return F.struct(
+        *[
+            (F.lit(places[name]) if name in places else record_list(df)).alias(name)
+            for name, df in datasets.items()
+        ]
+    )
 
 
 def document(spark: SparkSession, fields: Mapping[str, Column]) -> DataFrame:
@@ -66,5 +73,16 @@ def read_document_if_available(
 
 
 def dataset(doc: DataFrame, block_name: str, name: str) -> DataFrame:
-    """One dataset of a read document as rows."""
-    return doc.select(F.inline(F.col(block_name)[name]))
+    """One dataset of a read document as rows.
+
+    A dataset that is null in the document is an error, not an empty dataset. One that
+    the document gives as a place is read from there.
+    """
+    kind = doc.schema[block_name].dataType[name].dataType
+    if isinstance(kind, T.StringType):
+        row = doc.select(F.col(block_name)[name]).first()
+        if row is None or row[0] is None:
+            raise ValueError(f"the document has no place of {block_name}.{name}")
+        return doc.sparkSession.read.parquet(row[0])
+    missing = F.raise_error(F.lit(f"the document has no {block_name}.{name}")).cast(kind)
+    return doc.select(F.inline(F.coalesce(F.col(block_name)[name], missing)))

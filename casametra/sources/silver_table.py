@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,9 +45,15 @@ def empty_history(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], SILVER_SCHEMA).drop(OWN_OPERATION)
 
 
-def read_history(spark: SparkSession, root: str) -> DataFrame:
+def read_history(
+    spark: SparkSession, root: str, pages_of: Sequence[str] | None = None
+) -> DataFrame:
     """Lazy scan of the whole history; empty while nothing has been written.
 
+    ``pages_of`` limits the scan to the partitions of pages of some operations. A filter
+    on ``operation`` alone can't prune, as a page may hold a listing of the other
+    operation; who does not want such listings names the pages.
+
     Raises ``ValueError`` when the stored table lacks ``operation`` or
     ``snapshot_date``. The operation of the listing itself wins over that of the
     page it came from. Tables of other writers may lack optional columns; their
@@ -57,6 +65,8 @@ def read_history(spark: SparkSession, root: str) -> DataFrame:
     missing = [c for c in PARTITION_COLUMNS if c not in stored.columns]
     if missing:
         raise ValueError(f"silver table {root!r} lacks the columns {missing}")
+    if pages_of is not None:
+        stored = stored.filter(F.col("operation").isin(*pages_of))
     table = stored.select(*[_stored_column(stored, f).alias(f.name) for f in SILVER_SCHEMA])
     return table.withColumn(
         "operation", F.coalesce(OWN_OPERATION, "operation")

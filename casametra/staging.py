@@ -7,7 +7,6 @@ is known to the optimizer when it plans the joins that follow.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,18 +15,27 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only where the session names none, as in local tests, a temporary folder
-    takes its place; it is then set for the rest of the session.
+    Where the session names none, it is a folder in the session's warehouse, which
+    driver and executors share too. It is never a folder of one machine's own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
-        configured = tempfile.mkdtemp(prefix="casametra-")
-        spark.sparkContext.setCheckpointDir(configured)
+        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staging"
     return configured.rstrip("/")
 
 
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared folder that goes when the session ends."""
+    root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return root
+
+
 class Staging:
     """A folder of intermediate tables that lives as long as one job."""
 

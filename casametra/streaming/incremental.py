@@ -3,7 +3,9 @@
 The stream's checkpoint remembers which pages were read, so a run does not list
 and compare the whole of bronze. Each run takes all pages that have landed and
 stops. As in the batch job, a snapshot that is in the history already is left
-alone: pages that land after their snapshot was cleaned are not added to it.
+alone: pages that land after their snapshot was cleaned are not added to it. Their names
+are written to a table of refused pages, so that a later run of the batch job, or a
+person, can find them.
 """
 
 from __future__ import annotations
@@ -13,10 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from casametra.operators.cleaning import to_stored
-from casametra.operators.snapshots import unwritten
+from casametra.operators.snapshots import SNAPSHOT, unwritten
 from casametra.params import SalePriceBounds
 from casametra.schemas import PAGE_SCHEMA
-from casametra.sources.bronze import explode_elements
+from casametra.sources.bronze import decode_keys, explode_elements, valid_keys
 from casametra.sources.silver_table import write_snapshots, written_snapshots
 
 
@@ -25,10 +27,13 @@ def clean_new_pages(
     bronze_root: str,
     silver_root: str,
     checkpoint: str,
+    refused_root: str,
     bounds: SalePriceBounds = SalePriceBounds(),
 ) -> StreamingQuery:
     """Start a stream over the landed pages; it ends when they are cleaned.
 
+    Pages of snapshots that are in the history go to ``refused_root``, one folder a batch.
+
     A batch that is repeated after a failure finds the partitions it finished
     and writes the others.
     """
@@ -42,8 +47,11 @@ def clean_new_pages(
         .select("*", F.col("_metadata.file_name").alias("page_file"))
     )
 
-    def write_batch(batch: DataFrame, _batch_id: int) -> None:
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
         written = written_snapshots(batch.sparkSession, silver_root)
+        late = valid_keys(decode_keys(batch.select("page_file"), "page_file"))
+        refused = late.join(written.select(*SNAPSHOT), list(SNAPSHOT), "left_semi")
+        refused.write.mode("overwrite").parquet(f"{refused_root}/batch={batch_id}")
         stored = to_stored(explode_elements(batch), bounds)
         write_snapshots(unwritten(stored, written), silver_root)
 

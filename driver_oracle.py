@@ -365,58 +365,106 @@ def _bars(dataset: str, position: str, label: str) -> str:
 
 
 _NUMERIC = ("latitude", "longitude", "price", "priceByArea", "size", "rooms", "bathrooms")
+_CORRELATED = (*_NUMERIC, "exterior", "newDevelopment", "hasLift")
 
 
 def _describe() -> str:
-    return " UNION ALL ".join(
-        f"SELECT operation, '{c}' AS \"column\", count({c}) AS count, {_r(f'avg({c})', 'mean')}, "
-        f"{_r(f'stddev_samp({c})', 'std')}, {_r(f'CAST(min({c}) AS DOUBLE)', 'min')}, "
-        f"{_r(f'quantile_cont({c}, 0.25)', 'q1')}, {_r(f'quantile_cont({c}, 0.5)', 'median')}, "
-        f"{_r(f'quantile_cont({c}, 0.75)', 'q3')}, {_r(f'CAST(max({c}) AS DOUBLE)', 'max')} "
-        "FROM valid GROUP BY operation"
-        for c in _NUMERIC
-    )
+    def of(c: str, x: str) -> str:
+        return (
+            f"SELECT operation, '{c}' AS \"column\", count({x}) AS count, {_r(f'avg({x})', 'mean')}, "
+            f"{_r(f'stddev_samp({x})', 'std')}, {_r(f'CAST(min({x}) AS DOUBLE)', 'min')}, "
+            f"{_r(f'quantile_cont({x}, 0.25)', 'q1')}, {_r(f'quantile_cont({x}, 0.5)', 'median')}, "
+            f"{_r(f'quantile_cont({x}, 0.75)', 'q3')}, {_r(f'CAST(max({x}) AS DOUBLE)', 'max')} "
+            "FROM valid GROUP BY operation"
+        )
+
+    numbers = {c: c for c in _NUMERIC} | {"distance": "TRY_CAST(distance AS DOUBLE)"}
+    return " UNION ALL ".join(of(c, x) for c, x in numbers.items())
 
 
 def _correlations() -> str:
+    def number(c: str) -> str:
+        return f"CAST({c} AS DOUBLE)" if c in _NUMERIC else f"CAST(CAST({c} AS INTEGER) AS DOUBLE)"
+
     return " UNION ALL ".join(
-        f"SELECT '{a}' AS \"column\", '{b}' AS later_column, abs(corr({a}, {b})) AS r FROM valid"
-        for i, a in enumerate(_NUMERIC)
-        for b in _NUMERIC[i + 1 :]
+        f"SELECT '{a}' AS \"column\", '{b}' AS later_column, abs(corr({number(a)}, {number(b)})) AS r FROM valid"
+        for i, a in enumerate(_CORRELATED)
+        for b in _CORRELATED[i + 1 :]
     )
 
 
-def _gold_counts() -> str:
-    """Record counts of every dataset, each from its own definition."""
+_GOLD_KEYS = ("operation", "district", "neighborhood", "snapshot_date")
+
+
+def _gold_records(wanted: tuple[str, ...] = ("general", "relevant", "data_basis")) -> str:
+    """All records in one shape, each dataset from its own definition."""
+    place_ts = f"{_PLACE}, snapshot_date"
     ratio_ts = "district, neighborhood, snapshot_date"
-    general = {
-        "price_time_series_neighborhood": _cells(_PLACE),
-        "price_time_series_district": _cells("operation, district"),
-        "rent_vs_sale_ratio": _raw_ratio("d1", "district, neighborhood", 5),
-        "rent_vs_sale_ratio_time_series": _raw_ratio("d1", ratio_ts, 5),
-        "boxplot_by_neighborhood": _raw_box("d1"),
-        "boxplot_by_neighborhood_last_3m": _raw_box("recent1", 5),
-    }
-    relevant = {
-        "rent_vs_sale_ratio": _raw_ratio("rel1", "district, neighborhood", 5),
-        "rent_vs_sale_ratio_time_series": _raw_ratio("rel1", ratio_ts, 5),
-        "boxplot_by_neighborhood": _raw_box("rel1"),
-        "boxplot_by_neighborhood_last_3m": _raw_box("recent_rel1", 5),
-    }
-    basis = {
-        "weekly_listing_volume": _cells("operation"),
-        "size_histogram_10sqm": _SIZE_HIST,
-        "rooms_distribution": _ROOMS,
-        "price_per_area_histogram": _PRICE_HIST,
-        "listing_location_grid_last_3m": _GRID,
-        "listing_locations_last_3m": f"SELECT 1 {_LOCATED}",
+    means = ("n", "ppa", "size", "price")
+    ratio = ("sale_ppa", "rent_ppa", "ratio", "count_listings_sale", "count_listings_rent")
+    box = ("count", "min", "q1", "median", "q3", "max")
+
+    def means_of(keys: str) -> str:
+        return (
+            f"SELECT {keys}, count(propertyCode) AS n, avg(priceByArea) AS ppa, "
+            f"avg(size) AS size, avg(price) AS price FROM d1 GROUP BY {keys}"
+        )
+
+    def trends(listings: str, recent: str) -> dict[str, tuple[str, str, tuple[str, ...]]]:
+        return {
+            "rent_vs_sale_ratio": (
+                _raw_ratio(listings, "district, neighborhood", 5), "district, neighborhood", ratio
+            ),
+            "rent_vs_sale_ratio_time_series": (_raw_ratio(listings, ratio_ts, 5), ratio_ts, ratio),
+            "boxplot_by_neighborhood": (_raw_box(listings), _PLACE, box),
+            "boxplot_by_neighborhood_last_3m": (_raw_box(recent, 5), _PLACE, box),
+        }
+
+    blocks = {
+        "general": {
+            "price_time_series_neighborhood": (means_of(place_ts), place_ts, means),
+            "price_time_series_district": (
+                means_of("operation, district, snapshot_date"), "operation, district, snapshot_date", means
+            ),
+            **trends("d1", "recent1"),
+        },
+        "relevant": trends("rel1", "recent_rel1"),
+        "data_basis": {
+            "weekly_listing_volume": (_cells("operation"), "operation, snapshot_date", ("n",)),
+            "size_histogram_10sqm": (
+                _SIZE_HIST, "operation", ("bin_start_m2", "bin_end_m2", "count_listings")
+            ),
+            "rooms_distribution": (_ROOMS, "operation", ("rooms", "count_listings")),
+            "price_per_area_histogram": (
+                _PRICE_HIST, "operation", ("bin_start_price_m2", "bin_end_price_m2", "count_listings")
+            ),
+            "listing_location_grid_last_3m": (_GRID, _PLACE, ("lat", "lon", "count_listings")),
+            "listing_locations_last_3m": (
+                f"SELECT * {_LOCATED}", _PLACE, ("latitude", "longitude")
+            ),
+        },
     }
-    blocks = {"general": general, "relevant": relevant, "data_basis": basis}
+
+    def records(block: str, name: str, sql: str, keys: str, values: tuple[str, ...]) -> str:
+        present = keys.split(", ")
+        shown = [
+            ("NULL::VARCHAR" if k not in present else _DAY.split(" AS ")[0] if k == "snapshot_date" else k)
+            + f" AS {k}"
+            for k in _GOLD_KEYS
+        ]
+        numbers = [
+            _r(f"CAST({values[i]} AS DOUBLE)", f"v{i}") if i < len(values) else f"NULL::DOUBLE AS v{i}"
+            for i in range(6)
+        ]
+        return (
+            f"SELECT '{block}' AS block, '{name}' AS dataset, {', '.join(shown)}, "
+            f"{', '.join(numbers)} FROM ({sql})"
+        )
+
     return " UNION ALL ".join(
-        f"SELECT '1.0' AS schema_version, 5 AS min_count, '{block}' AS block, "
-        f"'{name}' AS dataset, (SELECT count(*) FROM ({sql})) AS n_records"
-        for block, datasets in blocks.items()
-        for name, sql in datasets.items()
+        records(block, name, *definition)
+        for block in wanted
+        for name, definition in blocks[block].items()
     )
 
 
@@ -449,7 +497,7 @@ def _pages_profile() -> str:
     return f"SELECT *, {percent} FROM (SELECT {counts} FROM paged)"
 
 
-_STORED = """(SELECT * FROM paged WHERE NOT cut_off AND priceByArea IS NOT NULL
+_STORED = """(SELECT * FROM paged WHERE priceByArea IS NOT NULL
   AND neighborhood <> '' AND (bathrooms IS NULL OR bathrooms > 0)
   AND (page_operation <> 'sale' OR (priceByArea > 1000 AND priceByArea < 10000)))"""
 
@@ -463,7 +511,7 @@ _BODIES: dict[str, str] = {
     "bronze_page_scan": (
         f"SELECT page_file, page_pos, page_operation, {_DAY}, own_operation AS operation, "
         "propertyCode, neighborhood, priceByArea, CAST(bathrooms AS DOUBLE) AS bathrooms, "
-        "hasLift, parkingSpace FROM paged WHERE NOT cut_off"
+        "hasLift, parkingSpace FROM paged"
     ),
     "bronze_quality_profile": _pages_profile(),
     "bronze_failed_pages": "SELECT DISTINCT page_file FROM paged WHERE cut_off",
@@ -489,7 +537,18 @@ _BODIES: dict[str, str] = {
         "WHERE page_operation = 'sale' GROUP BY page_operation, snapshot_date"
     ),
     "csv_roundtrip": (
-        f"SELECT operation, {_DAY}, propertyCode, price, size, floor, hasLift, rooms FROM valid"
+        "SELECT operation, r_name AS province, n_name AS municipality, district, neighborhood, "
+        "latitude, longitude, distance, address, propertyCode, propertyType, price, priceByArea, "
+        "size, floor, exterior, rooms, bathrooms, status, newDevelopment, hasLift, parkingSpace, "
+        f"{_DAY} FROM valid"
+    ),
+    "silver_job_run": (
+        "SELECT CASE WHEN snapshot_date = max(snapshot_date) OVER (PARTITION BY operation) "
+        "THEN 'latest' ELSE 'backfill' END AS run, operation, "
+        f"{_DAY}, n_rows AS n_reported, CAST(2 AS BIGINT) AS skipped, n_rows, n_properties, "
+        f"{_r('sum_price', 'sum_price', 2)} FROM (SELECT page_operation AS operation, snapshot_date, "
+        "count(*) AS n_rows, count(DISTINCT propertyCode) AS n_properties, sum(price) AS sum_price "
+        f"FROM {_STORED} GROUP BY page_operation, snapshot_date)"
     ),
     "silver_snapshots": f"SELECT operation, {_DAY}, pages FROM snaps",
     "latest_snapshot": (
@@ -560,7 +619,10 @@ _BODIES: dict[str, str] = {
     "listing_locations": (
         f"SELECT operation, district, neighborhood, {_LATLON} {_LOCATED}"
     ),
-    "gold_document": _gold_counts(),
+    "gold_document": _gold_records(),
+    "gold_tables_general": _gold_records(("general",)),
+    "gold_tables_relevant": _gold_records(("relevant",)),
+    "gold_tables_data_basis": _gold_records(("data_basis",)),
     "download_volume": (
         f"SELECT operation, {_DAY}, count(propertyCode) AS count_listings FROM explored "
         "GROUP BY operation, snapshot_date"
@@ -594,6 +656,14 @@ _BODIES: dict[str, str] = {
     "redundant_columns": (
         f"SELECT DISTINCT later_column AS \"column\" FROM ({_correlations()}) WHERE r > 0.5"
     ),
+    # price per area is the one column that correlates above 0.5 with an earlier one
+    "drop_redundant": "SELECT propertyCode, "
+    + ", ".join(
+        f"CAST({c} AS DOUBLE) AS {c}" if c in _NUMERIC else f"CAST(CAST({c} AS INTEGER) AS DOUBLE) AS {c}"
+        for c in _CORRELATED
+        if c != "priceByArea"
+    )
+    + " FROM valid",
     "first_listings": (
         f"SELECT {_LISTING} FROM (SELECT * FROM valid ORDER BY {_ORDER} LIMIT 3)"
     ),

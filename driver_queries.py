@@ -8,7 +8,7 @@ keeps exact ties from rounding apart. The operators themselves never round.
 from __future__ import annotations
 
 import datetime
-import uuid
+import functools
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,8 +27,9 @@ from casametra.plans.dashboard import (
     scoped_block,
 )
 from casametra.plans.health import checks, health_document
+from casametra.plans.silver import backfill, clean_snapshots
 from casametra.sources import bronze, csv_export, silver_table
-from casametra.staging import shared_dir
+from casametra.staging import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,7 +117,7 @@ def recent_runs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_dir(spark, name)}/data"
 
 
 # --- raw pages and silver ---------------------------------------------------
@@ -131,15 +132,12 @@ def bronze_skipped_keys(spark: SparkSession, sf: str) -> DataFrame:
     return skipped.groupBy("key").agg(F.count("*").alias("n"))
 
 
-def intact_pages(spark: SparkSession, sf: str) -> DataFrame:
-    pages = views.pages(spark, sf)
-    return bronze.parse_pages(pages, mode="PERMISSIVE").filter(
-        F.col("_corrupt_record").isNull()
-    )
+def page_elements(spark: SparkSession, sf: str) -> DataFrame:
+    return bronze.explode_elements(bronze.parse_pages(views.pages(spark, sf)))
 
 
 def bronze_page_scan(spark: SparkSession, sf: str) -> DataFrame:
-    elements = bronze.explode_elements(intact_pages(spark, sf))
+    elements = page_elements(spark, sf)
     return with_iso(elements).select(
         F.col("_page_file").alias("page_file"),
         F.col("_page_pos").alias("page_pos"),
@@ -157,7 +155,7 @@ def bronze_page_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 def bronze_quality_profile(spark: SparkSession, sf: str) -> DataFrame:
     profile_row = bronze.quality_profile(
-        bronze.parse_pages(views.pages(spark, sf), mode="PERMISSIVE")
+        bronze.parse_pages(views.pages(spark, sf, damaged=True), mode="PERMISSIVE")
     )
     return rounded(
         profile_row, "null_price_by_area_pct", "missing_neighborhood_pct", "missing_operation_pct"
@@ -165,7 +163,7 @@ def bronze_quality_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def bronze_failed_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return bronze.failed_pages(bronze.parse_pages(views.pages(spark, sf), mode="PERMISSIVE"))
+    return bronze.failed_pages(bronze.parse_pages(views.pages(spark, sf, damaged=True), mode="PERMISSIVE"))
 
 
 def silver_clean(spark: SparkSession, sf: str) -> DataFrame:
@@ -174,7 +172,7 @@ def silver_clean(spark: SparkSession, sf: str) -> DataFrame:
 
 def silver_from_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Pages to silver rows, counted per partition."""
-    stored = cleaning.to_stored(bronze.explode_elements(intact_pages(spark, sf)))
+    stored = cleaning.to_stored(page_elements(spark, sf))
     return with_iso(stored).groupBy("operation", "snapshot_date").agg(
         F.count("*").alias("n_rows"),
         F.sum("_page_pos").alias("sum_pos"),
@@ -185,7 +183,7 @@ def silver_from_pages(spark: SparkSession, sf: str) -> DataFrame:
 def silver_history_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Silver rows written as partitions and read back as the history."""
     root = scratch(spark, "silver")
-    stored = cleaning.to_stored(bronze.explode_elements(intact_pages(spark, sf)))
+    stored = cleaning.to_stored(page_elements(spark, sf))
     silver_table.write_snapshots(stored, root)
     history = silver_table.read_history(spark, root)
     return rounded(
@@ -203,7 +201,7 @@ def silver_history_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 def silver_incremental(spark: SparkSession, sf: str) -> DataFrame:
     """The partitions of rent come first; the guard then lets only sale through."""
     root = scratch(spark, "silver")
-    stored = cleaning.to_stored(bronze.explode_elements(intact_pages(spark, sf)))
+    stored = cleaning.to_stored(page_elements(spark, sf))
     silver_table.write_snapshots(stored.filter(F.col("operation") == "rent"), root)
     written = silver_table.written_snapshots(spark, root)
     fresh = snapshots.unwritten(stored, written)
@@ -214,11 +212,35 @@ def silver_incremental(spark: SparkSession, sf: str) -> DataFrame:
 
 def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch(spark, "csv")
-    listings = views.silver(spark, sf).drop("parkingSpace", *ORDER)
+    listings = views.silver(spark, sf).drop(*ORDER)
     csv_export.write_csv(listings, path)
-    return with_iso(csv_export.read_csv(spark, path, listings.schema)).select(
-        "operation", "snapshot_date", "propertyCode", "price", "size", "floor", "hasLift", "rooms"
+    return with_iso(csv_export.read_csv(spark, path, listings.schema))
+
+
+def silver_job_run(spark: SparkSession, sf: str) -> DataFrame:
+    """The silver job over landed page files: the latest snapshots, then the backfill.
+
+    Per written partition: which run wrote it, the rows it reported, and what the history
+    has of it; ``skipped`` is the number of keys that did not decode.
+    """
+    pages_root, silver_root = scratch(spark, "bronze"), scratch(spark, "silver")
+    views.land_pages(spark, sf, pages_root)
+    runs = {
+        "latest": clean_snapshots(spark, pages_root, silver_root),
+        "backfill": backfill(spark, pages_root, silver_root),
+        "again": backfill(spark, pages_root, silver_root),
+    }
+    reported = spark.createDataFrame(
+        [(name, op, day.isoformat(), n, run.skipped) for name, run in runs.items() for op, day, n in run.written],
+        "run string, operation string, snapshot_date string, n_reported long, skipped long",
+    )
+    history = silver_table.read_history(spark, silver_root)
+    stored = with_iso(history).groupBy("operation", "snapshot_date").agg(
+        F.count("*").alias("n_rows"),
+        F.countDistinct("propertyCode").alias("n_properties"),
+        F.sum("price").alias("sum_price"),
     )
+    return rounded(reported.join(stored, ["operation", "snapshot_date"], "full"), "sum_price", digits=2)
 
 
 def silver_snapshots(spark: SparkSession, sf: str) -> DataFrame:
@@ -407,19 +429,56 @@ def written_document(spark: SparkSession, sf: str) -> DataFrame:
     return read_gold(spark, result.document)
 
 
+#: Columns of the gold datasets that are keys; what else a dataset has are its values.
+GOLD_KEYS = ("operation", "district", "neighborhood", "snapshot_date")
+
+
+def gold_records(datasets: dict[str, DataFrame], block_name: str) -> DataFrame:
+    """All records of a block in one shape: keys, and values by position."""
+    parts = []
+    for name, df in datasets.items():
+        values = [c for c in df.columns if c not in GOLD_KEYS]
+        parts.append(
+            df.select(
+                F.lit(block_name).alias("block"),
+                F.lit(name).alias("dataset"),
+                *[(F.col(k) if k in df.columns else F.lit(None).cast("string")).alias(k) for k in GOLD_KEYS],
+                *[
+                    (F.round(F.col(values[i]).cast("double") + 1e-9, 4) if i < len(values) else F.lit(None).cast("double")).alias(f"v{i}")
+                    for i in range(6)
+                ],
+            )
+        )
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 def gold_document(spark: SparkSession, sf: str) -> DataFrame:
-    """Records of each dataset in the written document."""
+    """Every record of the written document, and of the table that it names."""
     doc = written_document(spark, sf)
-    counts = [
-        F.struct(
-            F.lit(block_name).alias("block"),
-            F.lit(name).alias("dataset"),
-            F.size(F.col(block_name)[name]).cast("bigint").alias("n_records"),
-        )
-        for block_name in ("general", "relevant", "data_basis")
-        for name in doc.schema[block_name].dataType.fieldNames()
-    ]
-    return doc.select("schema_version", "min_count", F.inline(F.array(*counts)))
+    blocks = [gold_records(block_datasets(doc, b), b) for b in ("general", "relevant", "data_basis")]
+    return functools.reduce(DataFrame.unionByName, blocks)
+
+
+def _gold_tables(spark: SparkSession, sf: str, block_name: str) -> DataFrame:
+    result = gold.write_gold(
+        spark, views.silver(spark, sf), scratch(spark, "gold"), F.lit(GENERATED_AT), P, ORDER
+    )
+    names = [name for b, name in result.rows if b == block_name]
+    return gold_records(
+        {name: spark.read.parquet(f"{result.tables}/{block_name}/{name}") for name in names}, block_name
+    )
+
+
+def gold_tables_general(spark: SparkSession, sf: str) -> DataFrame:
+    return _gold_tables(spark, sf, "general")
+
+
+def gold_tables_relevant(spark: SparkSession, sf: str) -> DataFrame:
+    return _gold_tables(spark, sf, "relevant")
+
+
+def gold_tables_data_basis(spark: SparkSession, sf: str) -> DataFrame:
+    return _gold_tables(spark, sf, "data_basis")
 
 
 # --- exploratory statistics -------------------------------------------------
@@ -478,6 +537,14 @@ def redundant_columns(spark: SparkSession, sf: str) -> DataFrame:
     return profile.redundant_columns(profile.correlation_pairs(views.silver(spark, sf)), 0.5)
 
 
+def drop_redundant(spark: SparkSession, sf: str) -> DataFrame:
+    """Listings less the columns that correlate with an earlier one."""
+    listings = views.silver(spark, sf).select("propertyCode", *profile.CORRELATED_COLUMNS)
+    kept = profile.drop_redundant(listings, threshold=0.5)
+    numbers = [F.col(c).cast("double").alias(c) for c in kept.columns if c != "propertyCode"]
+    return kept.select("propertyCode", *numbers)
+
+
 def first_listings(spark: SparkSession, sf: str) -> DataFrame:
     return listing_view(profile.head(views.silver(spark, sf), 3, ORDER))
 
@@ -781,6 +848,7 @@ QUERIES: dict[str, Query] = {
         silver_history_roundtrip,
         silver_incremental,
         csv_roundtrip,
+        silver_job_run,
         silver_snapshots,
         latest_snapshot,
         snapshot_on_date,
@@ -812,6 +880,9 @@ QUERIES: dict[str, Query] = {
         location_grid,
         listing_locations,
         gold_document,
+        gold_tables_general,
+        gold_tables_relevant,
+        gold_tables_data_basis,
         download_volume,
         monthly_volume,
         neighborhood_stats,
@@ -823,6 +894,7 @@ QUERIES: dict[str, Query] = {
         zero_bathrooms_by_neighborhood,
         correlation_pairs,
         redundant_columns,
+        drop_redundant,
         first_listings,
         max_price,
         scope_districts,

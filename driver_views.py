@@ -59,20 +59,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread an input that has fewer splits than there are cores.
-
-    A small file with a single row group would otherwise pass through one task.
-    Larger inputs, which have splits enough, are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw listing elements: one per lineitem row, some with missing values."""
     joined = (
-        spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
+        table(spark, sf_dir, "lineitem")
         .join(table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "l_partkey"), "l_partkey")
         .join(table(spark, sf_dir, "supplier").withColumnRenamed("s_suppkey", "l_suppkey"), "l_suppkey")
         .join(table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "s_nationkey"), "s_nationkey")
@@ -134,11 +124,11 @@ def page_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pages(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
     """Raw pages as JSON text, with 50 elements at most, as a search returns them.
 
     The elements of a snapshot are numbered within blocks of 2,000 order keys.
-    Some pages are cut off in the middle of the text.
+    If ``damaged``, some pages are cut off in the middle of the text.
     """
     names = ELEMENT_SCHEMA.fieldNames()
     block = ("page_operation", "snapshot_date", "block")
@@ -158,7 +148,7 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             "actualPage",
         )
     )
-    cut_off = (F.col("block") + F.col("actualPage")) % 7 == 3
+    cut_off = F.lit(damaged) & ((F.col("block") + F.col("actualPage")) % 7 == 3)
     return grouped.select(
         F.format_string(
             "%s_%s_120000_%d.json",
@@ -206,3 +196,24 @@ def costs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderpriority").alias("service"),
         F.col("o_totalprice").cast("decimal(18,2)").alias("amount"),
     )
+
+
+def land_pages(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """The pages as files with their own names, and two files whose names don't decode."""
+    landed = f"{root}-landing"
+    pages(spark, sf_dir).write.partitionBy("page_file").text(landed)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(root))
+    folders = fs.listStatus(path(landed))
+    for folder in folders:
+        name = folder.getPath().getName()
+        if not name.startswith("page_file="):
+            continue
+        for part in fs.listStatus(folder.getPath()):
+            fs.rename(part.getPath(), path(f"{root}/{name.removeprefix('page_file=')}"))
+    for name in ("sale_20231301_120000_1.json", "auction_20230101_120000_1.json"):
+        out = fs.create(path(f"{root}/{name}"))
+        out.writeBytes("{}")
+        out.close()
+    fs.delete(path(landed), True)

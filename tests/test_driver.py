@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as contract
 import check_oracle
+import driver_oracle
+import driver_queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -28,11 +30,16 @@ SAMPLE = (
     "quota_series",
     "cost_history",
     "dashboard_figures",
+    "silver_job_run",
+    "gold_document",
+    "drop_redundant",
+    "request_accounting",
 )
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(driver_queries.QUERIES) == set(driver_oracle.oracle_sql())
+    assert set(driver_queries.QUERIES) <= set(contract.queries())
 
 
 def test_entry(spark):

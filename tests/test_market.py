@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import numpy as np
@@ -226,8 +227,9 @@ def test_stored_buckets_are_broadcast_and_give_the_same(spark):
     )
     wanted = {"q1": 0.25, "q3": 0.75}
     plain = exact_quantiles(df, ["g"], "v", wanted)
+    number = itertools.count()
     with Staging(spark) as stage:
-        kept = exact_quantiles(df, ["g"], "v", wanted, lambda b: stage.table(b, "buckets"))
+        kept = exact_quantiles(df, ["g"], "v", wanted, lambda b: stage.table(b, f"buckets-{next(number)}"))
         plan = kept._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
         assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, plain.collect()))
@@ -380,3 +382,29 @@ def test_log_timestamps(spark):
     assert [r[0] for r in df.select(iso_timestamp_or_text(F.col("t"))).collect()] == [
         "2026-01-01T00:00:00", "2026-01-01T00:00:00.250000", "soon", "2026-01-01", "", None
     ]
+
+
+def test_close_values_spread_over_buckets(spark):
+    """A million coordinates of one town: no window task gets a large part of a group."""
+    from casametra.operators import quantiles
+
+    spread = spark.range(1_000_000).select(
+        F.lit("g").alias("g"), (39.45 + F.rand(7) * 0.05).alias("v")
+    )
+    wanted = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    original = quantiles._PARTS
+    assert original >= 1024
+    (row,) = records(exact_quantiles(spread, ["g"], "v", wanted))
+    values = sorted(r.v for r in spread.select("v").collect())
+    n = len(values)
+
+    def at(p):
+        low = int((n - 1) * p)
+        return values[low] + (values[min(low + 1, n - 1)] - values[low]) * ((n - 1) * p - low)
+
+    assert all(row[name] == pytest.approx(at(p), abs=1e-12) for name, p in wanted.items())
+    low, high = values[0], values[-1]
+    parts = [0] * original
+    for v in values:
+        parts[min(int((v - low) / (high - low) * original), original - 1)] += 1
+    assert max(parts) < n / 1000

@@ -214,7 +214,7 @@ def test_snapshot_selection(spark):
 
 
 def test_csv_roundtrip_keeps_types(tmp_path, spark, listings):
-    df = listings({}, {"floor": None, "rooms": None}).drop("parkingSpace")
+    df = listings({"parkingSpace": '{"hasParkingSpace":true}'}, {"floor": None, "rooms": None})
     csv_export.write_csv(df, str(tmp_path / "csv"))
     again = csv_export.read_csv(spark, str(tmp_path / "csv"), df.schema)
     assert df.exceptAll(again).isEmpty() and again.count() == 2
@@ -222,10 +222,13 @@ def test_csv_roundtrip_keeps_types(tmp_path, spark, listings):
 
 def test_stream_cleans_new_pages_and_keeps_written_snapshots(spark, tmp_path, bronze):
     silver, checkpoint = str(tmp_path / "silver"), str(tmp_path / "checkpoint")
-    clean_new_pages(spark, str(bronze), silver, checkpoint).awaitTermination(120)
+    refused = str(tmp_path / "refused")
+    clean_new_pages(spark, str(bronze), silver, checkpoint, refused).awaitTermination(120)
     assert silver_table.read_history(spark, silver).count() == 12
     write_page(bronze, "sale_20230409_130000_9.json", [element(propertyCode="late")])
     write_page(bronze, "sale_20230423_120000_1.json", [element(propertyCode="new")])
-    clean_new_pages(spark, str(bronze), silver, checkpoint).awaitTermination(120)
+    clean_new_pages(spark, str(bronze), silver, checkpoint, refused).awaitTermination(120)
+    late = [r.page_file for r in spark.read.parquet(refused).collect()]
+    assert "sale_20230409_130000_9.json" in late and "sale_20230423_120000_1.json" not in late
     codes = {r.propertyCode for r in silver_table.read_history(spark, silver).collect()}
     assert "new" in codes and "late" not in codes and len(codes) == 13

@@ -2,17 +2,34 @@
 
 from __future__ import annotations
 
-import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casametra.staging import shared_dir
+import casametra
+from casametra.staging import scratch_dir
 
 #: Words are runs of anything but the six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, as ``--py-files`` would, once a session."""
+    context = spark.sparkContext
+    name = "casametra_package.zip"
+    if name in context._python_includes:
+        return
+    package = Path(casametra.__file__).parent
+    # the session's own folder on the driver, from where executors fetch the file
+    archive = Path(context._temp_dir) / name
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+
+
 class Stage:
     """A folder in the cluster's shared folder for the written tables of one job.
 
@@ -20,12 +37,9 @@ class Stage:
     """
 
     def __init__(self, spark: SparkSession, name: str):
+        ship(spark)
         self.spark = spark
-        self.root = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-        path = spark._jvm.org.apache.hadoop.fs.Path(self.root)
-        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        fs.mkdirs(path)
-        fs.deleteOnExit(path)
+        self.root = scratch_dir(spark, name)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -37,6 +51,7 @@ class Stage:
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

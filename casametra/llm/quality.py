@@ -35,7 +35,7 @@ WORD_TERMS, SHAPE_TERMS = 2560, 1408
 #: Neighbours that vote, and the power of the similarity that is their weight.
 NEIGHBOURS, POWER = 24, 1
 #: Documents compared with the labelled ones at a time.
-ROWS = 1024
+ROWS = 256
 
 _CLASS = np.arange(256, dtype=np.uint8)
 _CLASS[ord("a") : ord("z") + 1] = ord("a")

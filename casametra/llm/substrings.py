@@ -46,11 +46,11 @@ SEGMENT_BITS = 16
 #: Segments that are added up together.
 SEGMENTS_TOGETHER = 128
 #: Windows that a task holds before it writes a block.
-BLOCK_WINDOWS = 3_000_000
+BLOCK_WINDOWS = 1_500_000
 #: Windows in one part of the second pass.
-PART_WINDOWS = 1_000_000
+PART_WINDOWS = 500_000
 #: Bytes of text in one group of the third pass.
-GROUP_OF_TEXT = 4 << 20
+GROUP_OF_TEXT = 2 << 20
 
 SEGMENTS = 1 << (CELL_BITS - SEGMENT_BITS)
 

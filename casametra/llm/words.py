@@ -17,10 +17,10 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text hashed at a time.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 
 #: Bytes of text in one group of rows handed to a kernel; one longer text may exceed it.
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 1 << 20
 
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True

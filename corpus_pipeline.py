@@ -6,21 +6,20 @@ with the columns of documents; the last returns the packed pieces.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-from casametra.llm.common import id_crc
+from casametra.llm.common import id_crc, ship
 from casametra.llm.minhash import representatives
 from casametra.llm.mixing import mixed_documents
 from casametra.llm.packing import pack
 from casametra.llm.quality import accepted
 from casametra.llm.substrings import documents_without_repeats
-from casametra.staging import shared_dir
+from casametra.staging import scratch_dir
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
+    ship(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return accepted(docs, labels, learn=id_crc("doc_id") % 3 != 1)
 
@@ -59,7 +58,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every stage in turn, each over the written rows of the one before."""
-    root = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    root = scratch_dir(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{root}/{name}")

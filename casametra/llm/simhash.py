@@ -44,10 +44,11 @@ def voted(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
     listed = rows.select(*keys, F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0)).alias("_words"))
     pairs = F.arrays_zip(F.col("_words").alias("w"), F.slice("_words", 2, F.greatest(F.size("_words"), F.lit(1))).alias("v"))
     spread = listed.select(*keys, F.inline_outer(pairs).alias("_w", "_v"))
-    weight = F.least(F.length("_w") + F.coalesce(F.length("_v"), F.lit(0)), F.lit(HEAVIEST)).cast("long")
+    letters = F.coalesce(F.length("_w"), F.lit(0)) + F.coalesce(F.length("_v"), F.lit(0))
+    weight = F.least(letters, F.lit(HEAVIEST)).cast("long")
     hashed = spread.select(
         *keys,
-        F.coalesce(weight, F.lit(0)).alias("_weight"),
+        weight.alias("_weight"),
         F.xxhash64(F.lit(11), "_w", "_v").alias("_h1"),
         F.xxhash64(F.lit(23), "_w", "_v").alias("_h2"),
     )

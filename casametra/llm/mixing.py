@@ -3,9 +3,10 @@
 Every document has a fixed 63-bit hash. A histogram of words by source and leading
 hash bits shows in which bucket a source's budget ends; only the documents of that
 boundary bucket are looked at one by one. What remains of the budget then goes, by
-the same steps, to documents small enough to fit, in a fixed number of rounds. A
-document is chosen if one of its source's thresholds, each with a size limit, lies
-above its hash, so the choice is a filter: no source is sorted, and reruns agree.
+the same steps, to documents small enough to fit, in a fixed number of rounds, and at
+last to single documents whose size comes nearest to it. A document is chosen if its
+hash and size lie in one of its source's ranges, so the choice is a filter: no source
+is sorted, and reruns agree.
 A source whose target exceeds its size gives all documents once, twice or three
 times, and the rest of the target by the same choice.
 
@@ -27,6 +28,8 @@ from casametra.llm.common import Stage, WORD, source_key
 BUCKET_BITS = 12
 #: Rounds of filling what is left of a budget with documents that fit.
 ROUNDS = 3
+#: Single documents of the nearest size that may be added at last.
+SINGLES = 2
 #: Pieces of a source in joins with the small table of sources.
 SALTS = 16
 
@@ -92,9 +95,23 @@ def with_salt(sizes: DataFrame) -> DataFrame:
     return sizes.withColumn("_salt", (F.col("_hash") % SALTS).cast("int"))
 
 
-def chosen(thresholds: str = "_thresholds") -> Column:
-    """Whether one of the source's thresholds, with its size limit, takes the document."""
-    return F.exists(thresholds, lambda t: (F.col("size") <= t["limit"]) & (F.col("_hash") < t["below"]))
+RANGES = "array<struct<least: bigint, limit: bigint, from: bigint, below: bigint>>"
+
+
+def chosen() -> Column:
+    """Whether one of the source's ranges of size and hash takes the document."""
+    return F.exists(
+        "_thresholds",
+        lambda t: F.col("size").between(t["least"], t["limit"])
+        & (F.col("_hash") >= t["from"]) & (F.col("_hash") < t["below"]),
+    )
+
+
+def size_and_hash_range(least: Column, limit: Column, start: Column, below: Column) -> Column:
+    return F.array(F.struct(
+        least.cast("long").alias("least"), limit.cast("long").alias("limit"),
+        start.cast("long").alias("from"), below.cast("long").alias("below"),
+    ))
 
 
 def choose_round(sizes: DataFrame, budgets: DataFrame) -> DataFrame:
@@ -129,9 +146,9 @@ def choose_round(sizes: DataFrame, budgets: DataFrame) -> DataFrame:
     )
     whole = histogram.groupBy("_source").agg(F.sum("_words").alias("_whole"))
     first = F.size("_thresholds") == 0
-    threshold = F.struct(
-        F.when(first, F.lit(1 << 62)).otherwise(F.floor("_left")).cast("long").alias("limit"),
-        F.coalesce("_cut", F.lit((1 << 63) - 1)).alias("below"),
+    threshold = size_and_hash_range(
+        F.lit(0), F.when(first, F.lit(1 << 62)).otherwise(F.floor("_left")),
+        F.lit(0), F.coalesce("_cut", F.lit((1 << 63) - 1)),
     )
     took = F.coalesce("_inner", "_outer", "_whole", F.lit(0))
     return (
@@ -139,12 +156,31 @@ def choose_round(sizes: DataFrame, budgets: DataFrame) -> DataFrame:
         .join(cut, "_source", "left")
         .select(
             "_source", "source_size", "target", "_copies",
-            F.concat("_thresholds", F.array(threshold)).alias("_thresholds"),
+            F.concat("_thresholds", threshold).alias("_thresholds"),
             (F.col("_left") - took).alias("_left"),
         )
     )
 
 
+def choose_single(sizes: DataFrame, budgets: DataFrame) -> DataFrame:
+    """Adds to each source the document whose size comes nearest to what is left, if that helps."""
+    off = F.abs(F.col("size") - F.col("_left"))
+    nearest = (
+        with_salt(sizes)
+        .join(salted(budgets.select("_source", "_left", "_thresholds")), ["_source", "_salt"])
+        .filter((F.col("size") > 0) & (off < F.col("_left")) & ~chosen())
+        .groupBy("_source").agg(F.min(F.struct(off.alias("off"), F.col("_hash").alias("hash"), F.col("size").alias("size"))).alias("_one"))
+    )
+    one = F.col("_one")
+    added = F.when(one.isNull(), F.expr(f"CAST(array() AS {RANGES})")).otherwise(
+        size_and_hash_range(one["size"], one["size"], one["hash"], one["hash"] + 1)
+    )
+    return budgets.join(nearest, "_source", "left").select(
+        "_source", "source_size", "target", "_copies", F.concat("_thresholds", added).alias("_thresholds"),
+        (F.col("_left") - F.coalesce(one["size"], F.lit(0))).alias("_left"),
+    )
+
+
 def mixture(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_repeats: float = 3.0) -> tuple[DataFrame, DataFrame]:
     """Sizes of the documents, and for each source its target, full copies and thresholds."""
     stage = Stage(docs.sparkSession, "mixing")
@@ -152,11 +188,13 @@ def mixture(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), max_repeats:
     copies = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int")
     budgets = source_targets(sizes, stage, weights, max_repeats).withColumn("_copies", copies).select(
         "*",
-        F.expr("CAST(array() AS array<struct<limit: bigint, below: bigint>>)").alias("_thresholds"),
+        F.expr(f"CAST(array() AS {RANGES})").alias("_thresholds"),
         (F.col("target") - F.col("_copies") * F.col("source_size")).alias("_left"),
     )
     for k in range(ROUNDS):
         budgets = stage.table(choose_round(sizes, budgets), f"budgets-{k}")
+    for k in range(SINGLES):
+        budgets = stage.table(choose_single(sizes, budgets), f"singles-{k}")
     return sizes, budgets
 
 

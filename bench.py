@@ -2,28 +2,27 @@
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default
 all cores), BENCH_RUNS (timed runs per query after a warm-up,
-default 2; the median counts).
+default 3; the median counts).
 """
 
 from __future__ import annotations
 
 import json
+import math
 import os
 import statistics
 import time
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import driver_queries
 import driver_views as views
-from casametra.operators.cleaning import to_stored
 from casametra.plans.gold import write_gold
-from casametra.sources.bronze import explode_elements
-from casametra.sources.silver_table import read_history, write_snapshots
-from casametra.staging import shared_dir
+from casametra.plans.silver import backfill
+from casametra.sources.silver_table import read_history
+from casametra.staging import scratch_dir
 
 HEADLINE = (
     "silver_clean",
@@ -50,6 +49,10 @@ HEADLINE = (
 )
 
 
+#: How much larger the history of the scaling run is.
+SCALE = 4
+
+
 def session() -> SparkSession:
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
     spark = (
@@ -61,6 +64,7 @@ def session() -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", os.path.abspath("spark-warehouse/_shared"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -72,25 +76,31 @@ def consume(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def silver_job(spark: SparkSession, sf_dir: str) -> str:
-    """Raw pages to a partitioned silver history."""
-    root = f"{shared_dir(spark)}/silver-{uuid.uuid4().hex}"
-    elements = explode_elements(driver_queries.intact_pages(spark, sf_dir))
-    write_snapshots(to_stored(elements), root)
+def silver_job(spark: SparkSession, pages_root: str) -> str:
+    """The silver job itself: landed page files to a partitioned silver history."""
+    root = f"{scratch_dir(spark, 'silver')}/history"
+    backfill(spark, pages_root, root)
     return root
 
 
-def gold_job(spark: SparkSession, silver_root: str) -> None:
+def gold_job(spark: SparkSession, history: DataFrame) -> None:
     """All datasets of the gold layer as tables, and the document."""
     write_gold(
         spark,
-        read_history(spark, silver_root),
-        f"{shared_dir(spark)}/gold-{uuid.uuid4().hex}",
+        history,
+        f"{scratch_dir(spark, 'gold')}/gold",
         F.lit("2026-01-01T12:00:00+00:00"),
         views.MARKET,
     )
 
 
+def replicated(history: DataFrame, times: int) -> DataFrame:
+    """The history with each property as so many properties of the same snapshots."""
+    copy = F.explode(F.sequence(F.lit(1), F.lit(times))).alias("_copy")
+    code = F.concat("propertyCode", F.lit("-"), F.col("_copy").cast("string"))
+    return history.select("*", copy).withColumn("propertyCode", code).drop("_copy")
+
+
 def timed(run: Callable[[], None], runs: int) -> float:
     run()
     seconds = []
@@ -103,16 +113,23 @@ def timed(run: Callable[[], None], runs: int) -> float:
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = session()
     results = {
         name: timed(lambda: consume(driver_queries.QUERIES[name](spark, sf_dir)), runs)
         for name in HEADLINE
     }
-    start = time.perf_counter()
-    silver_root = silver_job(spark, sf_dir)
-    results["silver_job"] = round(time.perf_counter() - start, 4)
-    results["gold_job"] = timed(lambda: gold_job(spark, silver_root), 1)
+    pages_root = f"{scratch_dir(spark, 'pages')}/bronze"
+    views.land_pages(spark, sf_dir, pages_root)
+    roots: list[str] = []
+    results["silver_job"] = timed(lambda: roots.append(silver_job(spark, pages_root)), runs)
+    history = read_history(spark, roots[-1])
+    results["gold_job"] = timed(lambda: gold_job(spark, history), runs)
+    # the same job over a history four times as large, written to the same shared folder
+    larger = f"{scratch_dir(spark, 'larger')}/history"
+    replicated(history, SCALE).write.partitionBy("snapshot_date").parquet(larger)
+    scaled = timed(lambda: gold_job(spark, spark.read.schema(history.schema).parquet(larger)), 1)
+    growth = math.log(scaled / results["gold_job"]) / math.log(SCALE)
     print(
         json.dumps(
             {
@@ -121,6 +138,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": results,
                 "sf": float(os.path.basename(sf_dir.rstrip("/")).removeprefix("sf") or 0),
+                "gold_job_larger": {"times": SCALE, "sec": scaled, "power_of_input": round(growth, 2)},
                 "cpus": spark.sparkContext.defaultParallelism,
                 "spark": spark.version,
             }

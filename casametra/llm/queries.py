@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casametra.llm import archives, language, length_histogram, minhash, mixing, neighbours, packing, quality, simhash, substrings
+from casametra.llm import (
+    archives,
+    importance,
+    language,
+    length_histogram,
+    minhash,
+    mixing,
+    neighbours,
+    oracle,
+    packing,
+    quality,
+    simhash,
+    substrings,
+)
 from casametra.llm.common import Stage, id_crc, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +76,11 @@ def op10_warc(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op13_importance_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    drawn = importance.resample(read(spark, sf, "documents"), read(spark, sf, "benchmark"), share=0.05, min_words=20, seed=42)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -76,7 +94,10 @@ QUERIES: dict[str, Query] = {
         op8_neighbours,
         op9_substring_dedup,
         op10_warc,
+        op13_importance_resampling,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op13_importance_resampling": oracle.IMPORTANCE_RESAMPLING,
+}

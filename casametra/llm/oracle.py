@@ -63,3 +63,43 @@ placed AS (
 SELECT doc_id, n_features, weight, score, CASE WHEN place <= 5 * n // 100 THEN place END AS rank
 FROM scored LEFT JOIN placed USING (rn)
 """
+
+PHRASE_COLLOCATIONS = rf"""
+WITH pieces AS (
+  SELECT COALESCE(lang, 'und') AS lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded),
+runs AS (SELECT lang, w, i, unnest(range(1, 5)) AS m FROM starts),
+grams AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS f
+  FROM runs WHERE i + m - 1 <= len(w) GROUP BY ALL
+),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE m = 1 GROUP BY lang),
+candidates AS (
+  SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM grams WHERE m >= 2 AND f >= 30
+),
+cuts AS (SELECT *, unnest(range(1, m)) AS k FROM candidates),
+scored AS (
+  SELECT c.lang, c.m, c.phrase, c.a, c.k, x.f AS l, y.f AS r,
+    CAST((CAST(2000000 AS HUGEINT) * c.a) // (x.f + y.f) AS BIGINT) AS score
+  FROM cuts AS c
+  JOIN grams AS x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.k], ' ')
+  JOIN grams AS y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:c.m], ' ')
+),
+best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+),
+inner_starts AS (SELECT lang, m, w, a, unnest(range(1, m)) AS i FROM candidates WHERE m >= 3),
+inner_runs AS (SELECT lang, m, w, a, i, unnest(range(2, m)) AS size FROM inner_starts),
+around AS (
+  SELECT lang, array_to_string(w[i:i + size - 1], ' ') AS phrase, max(a) AS most
+  FROM inner_runs WHERE i + size - 1 <= m GROUP BY ALL
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score
+FROM best LEFT JOIN around USING (lang, phrase) JOIN totals USING (lang)
+WHERE most IS NULL OR 100 * most < 80 * a
+QUALIFY rank <= 2000
+"""

@@ -17,6 +17,7 @@ from casametra.llm import (
     neighbours,
     oracle,
     packing,
+    phrases,
     quality,
     simhash,
     substrings,
@@ -76,6 +77,10 @@ def op10_warc(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf, "documents"), least=30, subsumed_percent=80, first=2000)
+
+
 def op13_importance_resampling(spark: SparkSession, sf: str) -> DataFrame:
     drawn = importance.resample(read(spark, sf, "documents"), read(spark, sf, "benchmark"), share=0.05, min_words=20, seed=42)
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
@@ -94,10 +99,12 @@ QUERIES: dict[str, Query] = {
         op8_neighbours,
         op9_substring_dedup,
         op10_warc,
+        op11_collocations,
         op13_importance_resampling,
     )
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op11_collocations": oracle.PHRASE_COLLOCATIONS,
     "op13_importance_resampling": oracle.IMPORTANCE_RESAMPLING,
 }

@@ -44,6 +44,7 @@ HOT_SHARE, PARTS = 1024, 64
 #: Bytes of text of one group of rows; one longer text may exceed it.
 GROUP = 1 << 22
 
+_SPACE = pa.scalar(" ", pa.large_string())
 _BLANK, _END = 1, 2
 _KIND = np.zeros(256, dtype=np.uint8)
 _KIND[[0x20, 0x09]] = _BLANK
@@ -154,7 +155,7 @@ def stripes_of(found: Tokens, length: int, known: Known) -> pa.RecordBatch | Non
         prefix, pairs = _encoded(pa.array(prefix * size + found.token[at + k]))
         pairs = pairs.to_numpy(zero_copy_only=False)
         spelled = pc.binary_join_element_wise(
-            spelled.take(pa.array(pairs // size)), found.words.take(pa.array(pairs % size)), " "
+            spelled.take(pa.array(pairs // size)), found.words.take(pa.array(pairs % size)), _SPACE
         )
     last = found.token[at + length - 1]
     hot = np.isin(shorter[at], known.hot)

@@ -21,6 +21,7 @@ from casametra.llm import (
     quality,
     simhash,
     substrings,
+    toxicity,
 )
 from casametra.llm.common import Stage, id_crc, read
 
@@ -81,6 +82,13 @@ def op11_collocations(spark: SparkSession, sf: str) -> DataFrame:
     return phrases.collocations(read(spark, sf, "documents"), least=30, subsumed_percent=80, first=2000)
 
 
+def op12_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    remainder = id_crc("doc_id") % 4
+    found = toxicity.toxicity_scores(read(spark, sf, "documents"), read(spark, sf, "labels"), learn=remainder != 2)
+    held_out = F.coalesce(remainder == 2, F.lit(False)).alias("held_out")
+    return found.select("doc_id", held_out, "score", "predicted", "threshold", "toxic")
+
+
 def op13_importance_resampling(spark: SparkSession, sf: str) -> DataFrame:
     drawn = importance.resample(read(spark, sf, "documents"), read(spark, sf, "benchmark"), share=0.05, min_words=20, seed=42)
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
@@ -100,6 +108,7 @@ QUERIES: dict[str, Query] = {
         op9_substring_dedup,
         op10_warc,
         op11_collocations,
+        op12_toxicity,
         op13_importance_resampling,
     )
 }

@@ -34,17 +34,39 @@ def _bucket(value: Column) -> Column:
     return F.floor(F.signum(value) * F.log1p(F.abs(value)) * _BUCKETS_PER_E_FOLD)
 
 
-def _bucket_sums(rows: DataFrame, within: Sequence[str], bucket: str, before: Column) -> DataFrame:
-    """Rows, extremes and running total (after ``before``) of each bucket."""
-    sums = rows.groupBy(*within, bucket).agg(
+def _bucket_sums(rows: DataFrame, within: Sequence[str], bucket: str) -> DataFrame:
+    """Rows and extremes of each bucket."""
+    return rows.groupBy(*within, bucket).agg(
         F.sum("_n").alias("_bn"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
     )
+
+
+def _with_totals(sums: DataFrame, within: Sequence[str], bucket: str, before: Column) -> DataFrame:
+    """Adds the running total, after ``before``, up to each bucket."""
     up_to_bucket = (
         Window.partitionBy(*within).orderBy(bucket).rowsBetween(Window.unboundedPreceding, 0)
     )
     return sums.withColumn("_before", before + F.sum("_bn").over(up_to_bucket) - F.col("_bn"))
 
 
+def counted_values(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Known values of each group with their counts and buckets: keys, ``_b0``, ``_v``, ``_n``."""
+    known = df.dropna(subset=[*keys, value]).select(*keys, F.col(value).cast("double").alias("_v"))
+    return known.groupBy(*keys, _bucket(F.col("_v")).alias("_b0"), "_v").agg(F.count("*").alias("_n"))
+
+
+def bucket_totals(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Counted values by bucket: keys, ``_b0``, ``_bn``, ``_lo``, ``_hi``. Totals of parts add up."""
+    return _bucket_sums(counts, keys, "_b0")
+
+
+def merged_totals(totals: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Bucket totals of several parts as those of the whole."""
+    return totals.groupBy(*keys, "_b0").agg(
+        F.sum("_bn").alias("_bn"), F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi")
+    )
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -70,9 +92,24 @@ def exact_quantiles(
     else:
         known = known.withColumn("_n", F.lit(1).cast("bigint"))
     rows = known.withColumn("_b0", _bucket(F.col("_v")))
+    return quantiles_by_rank(rows, _bucket_sums(rows, keys, "_b0"), keys, quantiles, keep)
+
+
+def quantiles_by_rank(
+    rows: DataFrame,
+    totals: DataFrame,
+    keys: Sequence[str],
+    quantiles: Mapping[str, float],
+    keep: Callable[[DataFrame], DataFrame] | None = None,
+    only: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """The same from values with counts (``_v``, ``_n``, ``_b0``) and their bucket totals.
 
+    ``rows`` may be those of several parts: equal values need not have met yet. ``only`` may
+    narrow the rows to the wanted buckets by a filter that reaches the files.
+    """
     in_group = Window.partitionBy(*keys)
-    buckets = _bucket_sums(rows, keys, "_b0", F.lit(0)).select(
+    buckets = _with_totals(totals, keys, "_b0", F.lit(0)).select(
         *keys, "_b0", "_before", "_bn", "_lo", "_hi",
         F.sum("_bn").over(in_group).alias("_total"),
         F.min("_lo").over(in_group).alias("_min"),
@@ -95,13 +132,16 @@ def exact_quantiles(
     of_group = ("_total", "_min", "_max")
     path = ["_b0"]
     chosen = wanted(buckets)
+    if only is not None:
+        rows = only(rows, chosen)
     for k in range(1, REFINEMENTS + 1):
         inner = rows.join(chosen, on=[*keys, *path])
         share = F.try_divide(F.col("_v") - F.col("_lo"), F.col("_hi") - F.col("_lo"))
         inner = inner.withColumn(f"_b{k}", F.coalesce(F.floor(share * _PARTS), F.lit(0)))
         rows = inner.select(*keys, "_v", "_n", *path, f"_b{k}")
-        sums = _bucket_sums(
-            inner.drop("_lo", "_hi"), (*keys, *path, *of_group, "_before"), f"_b{k}", F.col("_before")
+        within = (*keys, *path, *of_group, "_before")
+        sums = _with_totals(
+            _bucket_sums(inner.drop("_lo", "_hi"), within, f"_b{k}"), within, f"_b{k}", F.col("_before")
         )
         path.append(f"_b{k}")
         chosen = wanted(sums.select(*keys, *path, *of_group, "_before", "_bn", "_lo", "_hi"))

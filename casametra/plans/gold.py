@@ -289,18 +289,25 @@ def write_gold(
 
     Which dataset goes where depends on its name alone (``TABLE_DATASETS``).
     """
-    tables, doc = f"{root}/tables", f"{root}/latest"
     with Staging(spark) as stage:
         datasets = gold_datasets(gold_inputs(history, params, order, stage))
+        return write_datasets(spark, datasets, root, generated_at, params)
+
+
+def write_datasets(
+    spark: SparkSession, datasets: Datasets, root: str, generated_at: Column, params: MarketParams
+) -> GoldResult:
+    """Write the tables of the datasets, then the document that is made of them."""
+    tables, doc = f"{root}/tables", f"{root}/latest"
 
-        def store(job: tuple[str, str]) -> tuple[DataFrame, int]:
-            path = f"{tables}/{job[0]}/{job[1]}"
-            df = datasets[job]()
-            n = _write_table(df, path)
-            return spark.read.schema(df.schema).parquet(path), n
+    def store(job: tuple[str, str]) -> tuple[DataFrame, int]:
+        path = f"{tables}/{job[0]}/{job[1]}"
+        df = datasets[job]()
+        n = _write_table(df, path)
+        return spark.read.schema(df.schema).parquet(path), n
 
-        with ThreadPoolExecutor(max_workers=_CONCURRENT_WRITES) as pool:
-            stored = dict(zip(datasets, pool.map(store, datasets)))
+    with ThreadPoolExecutor(max_workers=_CONCURRENT_WRITES) as pool:
+        stored = dict(zip(datasets, pool.map(store, datasets)))
     rows = {job: n for job, (_, n) in stored.items()}
     written: Blocks = {}
     for (block_name, name), (table, _) in stored.items():

@@ -42,7 +42,7 @@ FILTER_BITS = 26
 #: A prefix with this share of all occurrences is cut into ``PARTS``.
 HOT_SHARE, PARTS = 1024, 64
 #: Bytes of text of one group of rows; one longer text may exceed it.
-GROUP = 1 << 22
+GROUP = 1 << 23
 
 _SPACE = pa.scalar(" ", pa.large_string())
 _BLANK, _END = 1, 2
@@ -126,12 +126,14 @@ class Known(NamedTuple):
 
 def _rows(lang: pa.Array, prefix: pa.Array, part: np.ndarray, bounds: np.ndarray, words: pa.Array, counts: np.ndarray):
     offsets = pa.array(bounds.astype(np.int32))
+
+    def joined(values: pa.Array) -> pa.Array:
+        # as one text, an entry takes its own bytes in the shuffle and no more
+        return pc.binary_join(pa.ListArray.from_arrays(offsets, values.cast(pa.string())), " ")
+
     return pa.RecordBatch.from_arrays(
-        [
-            lang.cast(pa.string()), prefix.cast(pa.string()), pa.array(part.astype(np.int32)),
-            pa.ListArray.from_arrays(offsets, words.cast(pa.string())),
-            pa.ListArray.from_arrays(offsets, pa.array(counts.astype(np.int64))),
-        ],
+        [lang.cast(pa.string()), prefix.cast(pa.string()), pa.array(part.astype(np.int32)),
+         joined(words), joined(pa.array(counts))],
         ["lang", "prefix", "part", "words", "counts"],
     )
 
@@ -206,14 +208,15 @@ def merged_stripes(docs: DataFrame, length: int, known: Known, least: int) -> Da
                 yield rows
 
     partial = docs.select("text", F.col("lang").cast("string").alias("lang")).mapInArrow(
-        gather, "lang string, prefix string, part int, words array<string>, counts array<long>"
+        gather, "lang string, prefix string, part int, words string, counts string"
     )
     entries = partial.repartition("lang", "prefix", "part").select(
-        "lang", "prefix", "part", F.inline(F.arrays_zip("words", "counts"))
+        "lang", "prefix", "part",
+        F.inline(F.arrays_zip(F.split("words", " ").alias("words"), F.split("counts", " ").alias("counts"))),
     )
     return (
         entries.groupBy("lang", "prefix", "part", F.col("words").alias("word"))
-        .agg(F.sum("counts").alias("n"))
+        .agg(F.sum(F.col("counts").cast("long")).alias("n"))
         .filter(F.col("n") >= least)
         .select("lang", F.concat_ws(" ", "prefix", "word").alias("phrase"), "n")
     )

@@ -95,7 +95,7 @@ def test_hot_stripes_are_cut_into_parts():
     rows = phrases.stripes_of(seen, 2, known_as(-1, hot)).to_pylist()
     assert len([r for r in rows if r["prefix"] == "the"]) > 1
     assert [r["part"] for r in rows if r["prefix"] == "of"] == [0]
-    counted = {(r["prefix"], w): n for r in rows for w, n in zip(r["words"], r["counts"])}
+    counted = {(r["prefix"], w): n for r in rows for w, n in zip(r["words"].split(" "), map(int, r["counts"].split(" ")))}
     assert counted["the", "a"] == 3 and counted["of", "f"] == 3 and sum(counted.values()) == 33
 
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from functools import partial
 from itertools import count
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casametra.operators import market
@@ -19,6 +19,7 @@ from casametra.operators.locations import listing_locations, location_grid
 from casametra.params import GOLD_SCHEMA_VERSION, SEARCH_CONFIG, MarketParams
 from casametra.schemas import ORDINAL_COLUMNS, TABLE_DATASETS
 from casametra.sources.documents import block, document, write_document
+from casametra.sources.location_table import write_locations
 from casametra.staging import Staging
 
 Blocks = dict[str, dict[str, DataFrame]]
@@ -303,7 +304,7 @@ def write_datasets(
     def store(job: tuple[str, str]) -> tuple[DataFrame, int]:
         path = f"{tables}/{job[0]}/{job[1]}"
         df = datasets[job]()
-        n = _write_table(df, path)
+        n = _write_points(df, path) if job[1] in TABLE_DATASETS else _write_table(df, path)
         return spark.read.schema(df.schema).parquet(path), n
 
     with ThreadPoolExecutor(max_workers=_CONCURRENT_WRITES) as pool:
@@ -322,7 +323,12 @@ _CONCURRENT_WRITES = 4
 
 
 def _write_table(df: DataFrame, path: str) -> int:
-    """Write one dataset and return its number of rows, counted on the way."""
-    counted = Observation()
-    df.observe(counted, F.count("*").alias("n")).write.mode("overwrite").parquet(path)
-    return counted.get["n"]
+    """Write one dataset and return its number of rows, as the files' footers have it."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).count()
+
+
+def _write_points(df: DataFrame, path: str) -> int:
+    """The same for points: in files that each cover a part of the map, with an index."""
+    write_locations(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).count()

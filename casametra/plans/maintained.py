@@ -36,10 +36,11 @@ from casametra.operators.filters import in_scope, relevant
 from casametra.operators.quantiles import bucket_totals, counted_values, merged_totals, quantiles_by_rank
 from casametra.params import MarketParams
 from casametra.plans import gold
+from casametra.plans.silver import silver_snapshots
 from casametra.schemas import ORDINAL_COLUMNS, SILVER_SCHEMA
 from casametra.sources.latest_state import BUCKETS, LatestState
 from casametra.sources.ledger import Ledger
-from casametra.sources.silver_table import read_history, written_snapshots
+from casametra.sources.silver_table import read_history
 from casametra.staging import Staging
 
 Snapshot = tuple[str | None, date]
@@ -279,7 +280,7 @@ def update_state(spark: SparkSession, silver_root: str, state: GoldState) -> lis
 
     Of the history only the partitions of their dates are read.
     """
-    todo = state.missing(written_snapshots(spark, silver_root))
+    todo = state.missing(silver_snapshots(spark, silver_root))
     if not todo:
         return []
     days = sorted({day for _, day in todo})

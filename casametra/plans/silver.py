@@ -1,4 +1,9 @@
-"""The bronze-to-silver job."""
+"""The bronze-to-silver job.
+
+What has been written stands in a ledger beside the history: the pages of each snapshot and
+the rows that came of each. It is appended last, so a job that dies before is repeated as if
+it had never run, and a run asks the ledger instead of listing the history's files.
+"""
 
 from __future__ import annotations
 
@@ -7,8 +12,9 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casametra.operators.cleaning import to_stored
 from casametra.operators.snapshots import (
@@ -27,8 +33,18 @@ from casametra.sources.bronze import (
     skipped_keys,
     valid_keys,
 )
+from casametra.sources.ledger import Ledger
 from casametra.sources.silver_table import write_snapshots, written_snapshots
 
+LEDGER_SCHEMA = T.StructType(
+    [
+        T.StructField("operation", T.StringType()),
+        T.StructField("snapshot_date", T.DateType()),
+        T.StructField("page_file", T.StringType()),
+        T.StructField("n_rows", T.LongType()),
+    ]
+)
+
 
 @dataclass(frozen=True)
 class CleaningResult:
@@ -95,28 +111,105 @@ def _run(
     elif not everything:
         chosen = latest_snapshots(chosen)
 
+    ledger = snapshot_ledger(spark, silver_root)
     # One row per operation and snapshot date: as many as the calendar has.
-    todo = unwritten(chosen, written_snapshots(spark, silver_root)).select(*SNAPSHOT).collect()
+    todo = unwritten(chosen, recorded_snapshots(ledger)).select(*SNAPSHOT).collect()
     if not todo:
         return CleaningResult((), not chosen.isEmpty(), n_bad, bad)
 
     pages = scan_pages(spark, bronze_root, [tuple(row) for row in todo])
     write_snapshots(to_stored(explode_elements(pages), bounds), silver_root)
-    return CleaningResult(_written_rows(spark, silver_root, todo), True, n_bad, bad)
+    number = record_written(ledger, silver_root, valid_keys(decoded), todo)
+    return CleaningResult(_committed_rows(ledger, number), True, n_bad, bad)
 
 
-def _written_rows(
-    spark: SparkSession, silver_root: str, todo: Sequence[tuple[str, date]]
-) -> tuple[tuple[str, date, int], ...]:
-    """Row counts of the partitions just written.
+def snapshot_ledger(spark: SparkSession, silver_root: str) -> Ledger:
+    """The ledger of a history.
 
-    A snapshot all of whose listings were dropped has no partition.
+    A history that has none yet, from before there was one, is recorded as it stands.
+    """
+    ledger = Ledger(spark, silver_root, LEDGER_SCHEMA)
+    if not ledger.commits():
+        found = [tuple(r) for r in written_snapshots(spark, silver_root).select(*SNAPSHOT).collect()]
+        if found:
+            rows = partition_counts(spark.read.parquet(silver_root), found)
+            ledger.append(rows.select(*SNAPSHOT, F.lit(None).alias("page_file"), F.col("count").alias("n_rows")), 1)
+    return ledger
+
+
+def recorded_snapshots(ledger: Ledger) -> DataFrame:
+    """The snapshots that the ledger has rows of: operation, snapshot_date, pages, n_rows.
+
+    One that was cleaned to nothing has none; its pages are tried again.
+    """
+    return (
+        ledger.entries().groupBy(*SNAPSHOT)
+        .agg(F.countDistinct("page_file").alias("pages"), F.sum("n_rows").alias("n_rows"))
+        .filter(F.col("n_rows") > 0)
+    )
+
+
+def silver_snapshots(spark: SparkSession, silver_root: str) -> DataFrame:
+    """The snapshots of a history by its ledger; by its file names where it has none."""
+    ledger = Ledger(spark, silver_root, LEDGER_SCHEMA)
+    if ledger.commits():
+        return recorded_snapshots(ledger).select(*SNAPSHOT)
+    return written_snapshots(spark, silver_root).select(*SNAPSHOT)
+
+
+def record_written(
+    ledger: Ledger, silver_root: str, keys: DataFrame, todo: Sequence[tuple[str, date]]
+) -> int:
+    """Append what was just written to the ledger; returns the number of the commit.
+
+    ``keys`` are the decoded page keys, of which those of the snapshots ``todo`` count.
     """
+    number = ledger.next()
+    ledger.append(_page_rows(keys.sparkSession, silver_root, keys, todo), number)
+    return number
+
+
+def late_pages(spark: SparkSession, bronze_root: str, silver_root: str) -> DataFrame:
+    """Pages that came after their snapshot had been written: operation, snapshot_date, page_file.
+
+    A written snapshot is never rewritten, so no run takes these in.
+    """
+    entries = Ledger(spark, silver_root, LEDGER_SCHEMA).entries()
+    named = entries.filter(F.col("page_file").isNotNull())
+    keys = valid_keys(decode_keys(list_keys(spark, bronze_root)))
+    pages = keys.select(*SNAPSHOT, F.substring_index("key", "/", -1).alias("page_file"))
+    written = named.groupBy(*SNAPSHOT).agg(F.sum("n_rows").alias("n_rows")).filter(F.col("n_rows") > 0)
+    return pages.join(written.select(*SNAPSHOT), list(SNAPSHOT)).join(
+        named.select(*SNAPSHOT, "page_file"), [*SNAPSHOT, "page_file"], "left_anti"
+    )
+
+
+def _page_rows(
+    spark: SparkSession, silver_root: str, keys: DataFrame, todo: Sequence[tuple[str, date]]
+) -> DataFrame:
+    """The pages of the snapshots just written, and the rows that came of each."""
+    pages = keys.join(spark.createDataFrame([tuple(t) for t in todo], "operation string, snapshot_date date"), list(SNAPSHOT)).select(
+        *SNAPSHOT, F.substring_index("key", "/", -1).alias("page_file")
+    )
     try:
         stored = spark.read.parquet(silver_root)
-    except AnalysisException:
-        return ()
-    return tuple(tuple(row) for row in partition_counts(stored, todo).collect())
+    except AnalysisException as error:
+        if error.getCondition() not in {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}:
+            raise
+        return pages.withColumn("n_rows", F.lit(0))
+    rows = stored.filter(_of_snapshots(todo)).groupBy(*SNAPSHOT, F.col("_page_file").alias("page_file")).agg(
+        F.count("*").alias("n_rows")
+    )
+    return pages.join(rows, [*SNAPSHOT, "page_file"], "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
+
+
+def _committed_rows(ledger: Ledger, number: int) -> tuple[tuple[str, date, int], ...]:
+    """Row counts of the partitions that a commit names.
+
+    A snapshot all of whose listings were dropped has no partition.
+    """
+    of_commit = ledger.entries().filter(F.col("commit") == number).groupBy(*SNAPSHOT).agg(F.sum("n_rows").alias("n"))
+    return tuple(tuple(row) for row in of_commit.filter("n > 0").orderBy(*SNAPSHOT).collect())
 
 
 def partition_counts(stored: DataFrame, todo: Sequence[tuple[str, date]]) -> DataFrame:
@@ -125,6 +218,11 @@ def partition_counts(stored: DataFrame, todo: Sequence[tuple[str, date]]) -> Dat
     The partitions are named by literals, so that only theirs are scanned, and counted
     within each task: what is shuffled is a count, not a listing.
     """
+    return stored.filter(_of_snapshots(todo)).groupBy(*SNAPSHOT).count().orderBy(*SNAPSHOT)
+
+
+def _of_snapshots(todo: Sequence[tuple[str, date]]) -> Column:
+    """Whether a row is of one of the snapshots, by literals."""
     days: dict[str, list[date]] = {}
     for operation, day in todo:
         days.setdefault(operation, []).append(day)
@@ -133,4 +231,4 @@ def partition_counts(stored: DataFrame, todo: Sequence[tuple[str, date]]) -> Dat
         wanted = wanted | (
             (F.col("operation") == operation) & F.col("snapshot_date").isin(of_operation)
         )
-    return stored.filter(wanted).groupBy(*SNAPSHOT).count().orderBy(*SNAPSHOT)
+    return wanted

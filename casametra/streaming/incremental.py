@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from casametra.operators.cleaning import to_stored
-from casametra.operators.snapshots import SNAPSHOT, unwritten
+from casametra.operators.snapshots import SNAPSHOT, snapshots_of, unwritten
 from casametra.params import SalePriceBounds
+from casametra.plans.silver import record_written, recorded_snapshots, snapshot_ledger
 from casametra.schemas import PAGE_SCHEMA
 from casametra.sources.bronze import decode_keys, explode_elements, valid_keys
-from casametra.sources.silver_table import write_snapshots, written_snapshots
+from casametra.sources.silver_table import write_snapshots
 
 
 def clean_new_pages(
@@ -34,8 +35,8 @@ def clean_new_pages(
 
     Pages of snapshots that are in the history go to ``refused_root``, one folder a batch.
 
-    A batch that is repeated after a failure finds the partitions it finished
-    and writes the others.
+    Each batch ends with its entry in the history's ledger; one that is repeated after a
+    failure writes what has no entry yet.
     """
     pages = (
         spark.readStream.schema(PAGE_SCHEMA)
@@ -48,12 +49,17 @@ def clean_new_pages(
     )
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        written = written_snapshots(batch.sparkSession, silver_root)
-        late = valid_keys(decode_keys(batch.select("page_file"), "page_file"))
-        refused = late.join(written.select(*SNAPSHOT), list(SNAPSHOT), "left_semi")
+        ledger = snapshot_ledger(batch.sparkSession, silver_root)
+        written = recorded_snapshots(ledger)
+        keys = valid_keys(decode_keys(batch.select("page_file"), "page_file"))
+        refused = keys.join(written.select(*SNAPSHOT), list(SNAPSHOT), "left_semi")
         refused.write.mode("overwrite").parquet(f"{refused_root}/batch={batch_id}")
+        fresh = unwritten(snapshots_of(keys), written).select(*SNAPSHOT).collect()
+        if not fresh:
+            return
         stored = to_stored(explode_elements(batch), bounds)
         write_snapshots(unwritten(stored, written), silver_root)
+        record_written(ledger, silver_root, keys.withColumnRenamed("page_file", "key"), fresh)
 
     return (
         pages.writeStream.foreachBatch(write_batch)

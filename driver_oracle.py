@@ -550,6 +550,49 @@ _BODIES: dict[str, str] = {
         "count(*) AS n_rows, count(DISTINCT propertyCode) AS n_properties, sum(price) AS sum_price "
         f"FROM {_STORED} GROUP BY page_operation, snapshot_date)"
     ),
+    "silver_ledger": (
+        f"SELECT operation, {_DAY}, pages, n_rows FROM (SELECT page_operation AS operation, snapshot_date, "
+        "count(DISTINCT page_file) AS pages FROM paged GROUP BY ALL) JOIN (SELECT page_operation AS operation, "
+        f"snapshot_date, count(*) AS n_rows FROM {_STORED} GROUP BY ALL) USING (operation, snapshot_date)"
+    ),
+    "silver_empty_snapshot": (
+        "SELECT operation, strftime(snapshot_date, '%Y-%m-%d') AS snapshot_date, pages, "
+        "CASE WHEN operation = 'sale' THEN 0 END AS run, CASE WHEN operation = 'sale' THEN true END AS snapshots_found, "
+        "n_rows FROM (SELECT page_operation AS operation, snapshot_date, CAST(sum(pages) AS BIGINT) AS pages FROM ("
+        "SELECT page_operation, snapshot_date, block, (count(*) + 49) // 50 AS pages FROM ("
+        "SELECT *, l_orderkey // 2000 AS block FROM raw WHERE page_operation = 'sale' OR l_quantity IN (49, 50)) "
+        "GROUP BY ALL) GROUP BY ALL) LEFT JOIN (SELECT page_operation AS operation, snapshot_date, count(*) AS n_rows "
+        f"FROM {_STORED} WHERE page_operation = 'sale' GROUP BY ALL) USING (operation, snapshot_date)"
+    ),
+    "silver_refused_table": (
+        "SELECT missing, true AS refused, (SELECT count(*) FROM valid) AS n_rows "
+        "FROM (VALUES ('operation'), ('snapshot_date')) AS m(missing)"
+    ),
+    "gold_of_no_listing": (
+        "SELECT block, dataset, (SELECT count(*) FROM valid WHERE district = 'ATLANTIS') AS n_records FROM ("
+        "SELECT unnest(['general', 'relevant']) AS block, unnest([['rent_vs_sale_ratio', 'rent_vs_sale_ratio_time_series', "
+        "'boxplot_by_neighborhood', 'boxplot_by_neighborhood_last_3m', 'price_time_series_neighborhood', "
+        "'price_time_series_district'], ['rent_vs_sale_ratio', 'rent_vs_sale_ratio_time_series', "
+        "'boxplot_by_neighborhood', 'boxplot_by_neighborhood_last_3m']]) AS names UNION ALL SELECT 'data_basis', "
+        "['weekly_listing_volume', 'size_histogram_10sqm', 'rooms_distribution', 'price_per_area_histogram', "
+        "'listing_location_grid_last_3m', 'listing_locations_last_3m']), unnest(names) AS n(dataset)"
+    ),
+    "gold_from_state": _gold_records(),
+    "latest_rows_state": (
+        f"SELECT operation, propertyCode, {_DAY}, size, rooms, {_r('priceByArea', 'priceByArea')}, "
+        "district, neighborhood FROM d2"
+    ),
+    "boxplot_merged": _box("d1"),
+    "boxplot_merged_last_3m": _box("recent1", 5),
+    "locations_in_box": (
+        f"SELECT operation, district, neighborhood, {_LATLON} {_LOCATED} "
+        "AND latitude BETWEEN CAST(39.42 AS DOUBLE) AND CAST(39.46 AS DOUBLE) "
+        "AND longitude BETWEEN CAST(-0.397 AS DOUBLE) AND CAST(-0.392 AS DOUBLE)"
+    ),
+    "sampled_listings": (
+        "SELECT l_orderkey, l_linenumber, propertyCode, operation FROM valid "
+        "ORDER BY sha256('7|' || l_orderkey || '|' || l_linenumber || '|' || propertyCode) LIMIT 500"
+    ),
     "silver_snapshots": f"SELECT operation, {_DAY}, pages FROM snaps",
     "latest_snapshot": (
         f"SELECT operation, {_DAY}, pages FROM snaps s WHERE snapshot_date = "

@@ -7,6 +7,7 @@ keeps exact ties from rounding apart. The operators themselves never round.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime
 import functools
 from collections.abc import Callable, Sequence
@@ -19,7 +20,8 @@ from casametra.functions.columns import iso_date, iso_timestamp
 from casametra.operators import cleaning, dedup, filters, health, kpi, locations, market
 from casametra.operators import profile, snapshots
 from casametra.operators.cells import unit_cells
-from casametra.plans import gold
+from casametra.operators.spatial import Box
+from casametra.plans import gold, maintained
 from casametra.plans.dashboard import (
     block_datasets,
     headline_figures,
@@ -27,9 +29,9 @@ from casametra.plans.dashboard import (
     scoped_block,
 )
 from casametra.plans.health import checks, health_document
-from casametra.plans.silver import backfill, clean_snapshots
-from casametra.sources import bronze, csv_export, silver_table
-from casametra.staging import scratch_dir
+from casametra.plans.silver import backfill, clean_snapshots, snapshot_ledger
+from casametra.sources import bronze, csv_export, location_table, silver_table
+from casametra.staging import Staging, scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -120,6 +122,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark, name)}/data"
 
 
+def staging(spark: SparkSession, name: str) -> Staging:
+    """Intermediate tables that stay until the session ends, as results are read later."""
+    stage = Staging(spark)
+    stage.root = scratch_dir(spark, name)
+    return stage
+
+
 # --- raw pages and silver ---------------------------------------------------
 
 
@@ -243,6 +252,69 @@ def silver_job_run(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(reported.join(stored, ["operation", "snapshot_date"], "full"), "sum_price", digits=2)
 
 
+def silver_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """What the ledger of two runs of the silver job has of each snapshot."""
+    pages_root, silver_root = scratch(spark, "bronze"), scratch(spark, "silver")
+    views.land_pages(spark, sf, pages_root)
+    clean_snapshots(spark, pages_root, silver_root)
+    backfill(spark, pages_root, silver_root)
+    entries = snapshot_ledger(spark, silver_root).entries()
+    return with_iso(entries).groupBy("operation", "snapshot_date").agg(
+        F.count("page_file").alias("pages"), F.sum("n_rows").alias("n_rows")
+    )
+
+
+def silver_empty_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """The silver job over snapshots of which one operation cleans to nothing.
+
+    The pages of rent have only listings without a price per area or a neighborhood.
+    """
+    pages_root, silver_root = scratch(spark, "bronze"), scratch(spark, "silver")
+    dropped = F.col("l_quantity").isin(49.0, 50.0)
+    kept = (F.col("page_operation") == "sale") | dropped
+    views.land(views.paged(views.elements(spark, sf).filter(kept)), pages_root)
+    runs = [backfill(spark, pages_root, silver_root) for _ in range(2)]
+    found = [(n, run.snapshots_found, op, day.isoformat(), rows) for n, run in enumerate(runs) for op, day, rows in run.written]
+    reported = spark.createDataFrame(
+        found, "run long, snapshots_found boolean, operation string, snapshot_date string, n_rows long"
+    )
+    keys = bronze.valid_keys(bronze.decode_keys(bronze.list_keys(spark, pages_root)))
+    landed = with_iso(snapshots.snapshots_of(keys))
+    return landed.join(reported, ["operation", "snapshot_date"], "left")
+
+
+def silver_refused_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The refusal of a table without a required column, as a row; and the rows it has."""
+    out = []
+    for missing in ("operation", "snapshot_date"):
+        root = scratch(spark, "refused")
+        views.silver(spark, sf).drop(missing).write.parquet(root)
+        try:
+            silver_table.read_history(spark, root)
+            refused = False
+        except ValueError as error:
+            refused = missing in str(error)
+        out.append(spark.read.parquet(root).agg(
+            F.lit(missing).alias("missing"), F.lit(refused).alias("refused"), F.count("*").alias("n_rows")
+        ))
+    return out[0].unionByName(out[1])
+
+
+def gold_of_no_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """Records of each gold dataset over a history with nothing in scope."""
+    nothing = dataclasses.replace(P, scope_districts=("ATLANTIS",))
+    result = gold.write_gold(
+        spark, views.silver(spark, sf), scratch(spark, "gold"), F.lit(GENERATED_AT), nothing, ORDER
+    )
+    doc = read_gold(spark, result.document)
+    parts = [
+        df.agg(F.lit(b).alias("block"), F.lit(name).alias("dataset"), F.count("*").alias("n_records"))
+        for b in ("general", "relevant", "data_basis")
+        for name, df in block_datasets(doc, b).items()
+    ]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 def silver_snapshots(spark: SparkSession, sf: str) -> DataFrame:
     return with_iso(found_snapshots(spark, sf))
 
@@ -481,6 +553,58 @@ def gold_tables_data_basis(spark: SparkSession, sf: str) -> DataFrame:
     return _gold_tables(spark, sf, "data_basis")
 
 
+# --- maintained gold ----------------------------------------------------------
+
+
+def maintained_state(spark: SparkSession, sf: str) -> maintained.GoldState:
+    """The state after three runs: later dates first, earlier ones after, one date again."""
+    root = scratch(spark, "listings")
+    listings = views.silver(spark, sf)
+    listings.hint("rebalance", "snapshot_date").write.partitionBy("snapshot_date").parquet(root)
+    stored = spark.read.schema(listings.schema).parquet(root)
+    days = sorted(r[0] for r in stored.select("snapshot_date").distinct().collect())
+    half = len(days) // 2
+    state = maintained.GoldState(
+        spark, scratch(spark, "state"), P, ORDER, listings.schema, buckets=8
+    )
+    for batch in (days[half:], days[:half], days[half : half + 1]):
+        state.absorb(stored.filter(F.col("snapshot_date").isin(batch)), [(None, d) for d in batch])
+    return state
+
+
+def gold_from_state(spark: SparkSession, sf: str) -> DataFrame:
+    """Every record of the document that the maintained aggregates give."""
+    state = maintained_state(spark, sf)
+    result = maintained.write_gold(spark, state, scratch(spark, "gold"), F.lit(GENERATED_AT))
+    doc = read_gold(spark, result.document)
+    blocks = [gold_records(block_datasets(doc, b), b) for b in ("general", "relevant", "data_basis")]
+    return functools.reduce(DataFrame.unionByName, blocks)
+
+
+def latest_rows_state(spark: SparkSession, sf: str) -> DataFrame:
+    """The latest row of each property after three merges."""
+    state = maintained_state(spark, sf)
+    rows = state.latest.rows(state.ledger.commits()[-1]).drop(*ORDER)
+    return rounded(with_iso(rows), "priceByArea").drop("latitude", "longitude")
+
+
+def boxplot_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """Box plots of all time out of the value counts of the snapshots."""
+    return rounded(maintained_state(spark, sf).boxes("general"), *BOX)
+
+
+def boxplot_merged_last_3m(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(maintained_state(spark, sf).inputs().everyone.recent_boxes(), *BOX)
+
+
+def locations_in_box(spark: SparkSession, sf: str) -> DataFrame:
+    """A section of the map from the files that lie under it."""
+    root = scratch(spark, "locations")
+    location_table.write_locations(locations.listing_locations(recent_rows(spark, sf)), root, files=16)
+    found = location_table.read_box(spark, root, Box(39.42, -0.397, 39.46, -0.392))
+    return rounded(found, "latitude", "longitude", digits=6)
+
+
 # --- exploratory statistics -------------------------------------------------
 
 
@@ -518,7 +642,11 @@ def ordered_means(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def describe_by_operation(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(profile.describe(views.silver(spark, sf)), "mean", "std", *BOX)
+    stage, number = staging(spark, "describe"), iter(range(2))
+    described = profile.describe(
+        views.silver(spark, sf), keep=lambda df: stage.table(df, f"scan-{next(number)}")
+    )
+    return rounded(described, "mean", "std", *BOX)
 
 
 def zero_rooms_by_type(spark: SparkSession, sf: str) -> DataFrame:
@@ -549,6 +677,13 @@ def first_listings(spark: SparkSession, sf: str) -> DataFrame:
     return listing_view(profile.head(views.silver(spark, sf), 3, ORDER))
 
 
+def sampled_listings(spark: SparkSession, sf: str) -> DataFrame:
+    """Exactly 500 listings by the hash of their keys, the same from any partitioning."""
+    listings = views.silver(spark, sf)
+    drawn = profile.sample_rows(listings, 500, ("l_orderkey", "l_linenumber", "propertyCode"), seed=7)
+    return drawn.select("l_orderkey", "l_linenumber", "propertyCode", "operation")
+
+
 def max_price(spark: SparkSession, sf: str) -> DataFrame:
     return profile.highest_price_per_area(views.silver(spark, sf))
 
@@ -591,7 +726,14 @@ def listing_total(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def kpi_summary(spark: SparkSession, sf: str) -> DataFrame:
-    figures = kpi.summary(recent_boxes(spark, sf), ratios(spark, sf), F.lit(GENERATED_AT))
+    """The figures over inputs that are written once, as the gold job writes them."""
+    stage = staging(spark, "kpi")
+    trend = gold.trend_inputs(population(spark, sf), P, ORDER, stage)
+    recent = filters.in_window(trend.listings, P.window_months, trend.anchor)
+    boxes_of_window = market.boxplot(recent, P.min_count, keep=trend.keep_as("recent"))
+    figures = kpi.summary(
+        boxes_of_window, market.rent_vs_sale_ratio(trend.cells, P.min_count), F.lit(GENERATED_AT)
+    )
     return rounded(
         figures, "median_rent_per_m2_month", "median_sale_per_m2", "implied_gross_yield_percent"
     )
@@ -849,6 +991,10 @@ QUERIES: dict[str, Query] = {
         silver_incremental,
         csv_roundtrip,
         silver_job_run,
+        silver_ledger,
+        silver_empty_snapshot,
+        silver_refused_table,
+        gold_of_no_listing,
         silver_snapshots,
         latest_snapshot,
         snapshot_on_date,
@@ -883,6 +1029,11 @@ QUERIES: dict[str, Query] = {
         gold_tables_general,
         gold_tables_relevant,
         gold_tables_data_basis,
+        gold_from_state,
+        latest_rows_state,
+        boxplot_merged,
+        boxplot_merged_last_3m,
+        locations_in_box,
         download_volume,
         monthly_volume,
         neighborhood_stats,
@@ -896,6 +1047,7 @@ QUERIES: dict[str, Query] = {
         redundant_columns,
         drop_redundant,
         first_listings,
+        sampled_listings,
         max_price,
         scope_districts,
         scope_neighborhoods,

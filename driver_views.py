@@ -125,6 +125,11 @@ def page_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
+    """All elements as raw pages."""
+    return paged(elements(spark, sf_dir), damaged)
+
+
+def paged(elements_: DataFrame, damaged: bool = False) -> DataFrame:
     """Raw pages as JSON text, with 50 elements at most, as a search returns them.
 
     The elements of a snapshot are numbered within blocks of 2,000 order keys.
@@ -135,8 +140,7 @@ def pages(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
     position = F.row_number().over(Window.partitionBy(*block).orderBy(*ORDER)) - 1
     item = F.struct(F.col("position"), F.struct(*names).alias("element"))
     grouped = (
-        elements(spark, sf_dir)
-        .withColumn("block", F.floor(F.col("l_orderkey") / 2000))
+        elements_.withColumn("block", F.floor(F.col("l_orderkey") / 2000))
         .withColumn("position", position)
         .groupBy(*block, F.floor(F.col("position") / 50).cast("int").alias("actualPage"))
         .agg(F.sort_array(F.collect_list(item)).alias("items"))
@@ -200,8 +204,13 @@ def costs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def land_pages(spark: SparkSession, sf_dir: str, root: str) -> None:
     """The pages as files with their own names, and two files whose names don't decode."""
+    land(pages(spark, sf_dir), root)
+
+
+def land(pages_: DataFrame, root: str) -> None:
+    spark = pages_.sparkSession
     landed = f"{root}-landing"
-    pages(spark, sf_dir).write.partitionBy("page_file").text(landed)
+    pages_.write.partitionBy("page_file").text(landed)
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
     fs.mkdirs(path(root))

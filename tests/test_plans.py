@@ -84,7 +84,8 @@ def test_dedup_shuffles_only_what_the_dataset_needs(history):
 def test_no_query_has_a_cross_join_or_python_in_its_plan(spark, name):
     if name.startswith("gold_") or name in {"dashboard_figures", "health_document_statuses", "silver_job_run", "drop_redundant"}:
         pytest.skip("runs its job while it is built")
-    if name in {"silver_history_roundtrip", "silver_incremental", "csv_roundtrip"}:
+    if name in {"silver_history_roundtrip", "silver_incremental", "csv_roundtrip", "silver_ledger", "silver_empty_snapshot",
+                "silver_refused_table", "latest_rows_state", "boxplot_merged", "boxplot_merged_last_3m", "locations_in_box"}:
         pytest.skip("writes while it is built")
     plan = plan_of(driver_queries.QUERIES[name](spark, SF))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "BatchEvalPython",
@@ -100,7 +101,8 @@ def test_run_summary_scans_and_shuffles_only_what_was_written(spark, history, tm
     counts = partition_counts(stored, [("sale", day("2023-05-01")), ("rent", day("2023-06-01"))])
     plan = plan_of(counts)
     filters_ = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan).group(1)
-    assert "operation" in filters_ and "snapshot_date" in filters_ and "2023" in filters_ or "19" in filters_
+    assert "operation" in filters_ and "snapshot_date" in filters_
+    assert "2023-05-01" in filters_ and "2023-06-01" in filters_ and "2023-07-01" not in filters_
     below = plan[plan.index("Exchange hashpartitioning") :]
     assert "partial_count" in below
     assert {tuple(r) for r in counts.collect()} == {("sale", day("2023-05-01"), 3), ("rent", day("2023-06-01"), 3)}
@@ -113,11 +115,19 @@ def test_pages_of_an_operation_prune_its_partitions(spark, history, tmp_path):
     assert {r.operation for r in sale.select("operation").collect()} == {"sale"}
 
 
-def test_describe_shares_the_scans_of_its_values(history):
+def test_describe_scans_its_listings_twice(history, tmp_path):
     from casametra.operators import profile
 
-    df = profile.describe(history)
-    df.collect()
-    final = plan_of(df).split("== Initial Plan ==")[0]
-    # the listings for the moments; their values for the buckets and for the refinement
-    assert "ReusedExchange" in final and final.count("FileScan") <= 3
+    parts = []
+
+    def keep(df):
+        parts.append(plan_of(df))
+        path = str(tmp_path / f"part{len(parts)}")
+        df.write.parquet(path)
+        return df.sparkSession.read.parquet(path)
+
+    result = plan_of(profile.describe(history, keep=keep))
+    # figures and bounds, then what lies around the bounds; the result reads those two tables
+    assert [p.count("Batched: true, DataFilters") - ("part1" in p) for p in parts] == [1, 1]
+    assert "latitude" not in result
+    assert all("Generate" not in p and "Expand" not in p for p in parts)

@@ -1,10 +1,12 @@
 import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from casametra.operators import cleaning, dedup, snapshots
 from casametra.plans.silver import backfill, clean_snapshots
 from casametra.schemas import SILVER_COLUMNS
+from casametra.sources import bronze as bronze_source
 from casametra.sources import csv_export, silver_table
 from casametra.sources.bronze import explode_elements, scan_pages
 from casametra.streaming.incremental import clean_new_pages
@@ -232,3 +234,94 @@ def test_stream_cleans_new_pages_and_keeps_written_snapshots(spark, tmp_path, br
     assert "sale_20230409_130000_9.json" in late and "sale_20230423_120000_1.json" not in late
     codes = {r.propertyCode for r in silver_table.read_history(spark, silver).collect()}
     assert "new" in codes and "late" not in codes and len(codes) == 13
+
+
+def ledger_rows(spark, silver):
+    from casametra.plans.silver import recorded_snapshots, snapshot_ledger
+
+    rows = recorded_snapshots(snapshot_ledger(spark, silver)).collect()
+    return {(r.operation, r.snapshot_date): (r.pages, r.n_rows) for r in rows}
+
+
+def test_ledger_names_pages_and_rows(spark, tmp_path, bronze):
+    from casametra.plans.silver import late_pages, snapshot_ledger
+
+    silver = str(tmp_path / "silver")
+    clean_snapshots(spark, str(bronze), silver)
+    backfill(spark, str(bronze), silver)
+    history = silver_table.read_history(spark, silver)
+    counts = history.groupBy("operation", "snapshot_date").count().collect()
+    found = ledger_rows(spark, silver)
+    assert {k: n for k, (_, n) in found.items()} == {(r.operation, r.snapshot_date): r["count"] for r in counts}
+    named = sorted(r.page_file for r in snapshot_ledger(spark, silver).entries().collect())
+    keys = bronze_source.decode_keys(bronze_source.list_keys(spark, str(bronze)))
+    decoded = bronze_source.valid_keys(keys).select(F.substring_index("key", "/", -1)).collect()
+    assert named == sorted(r[0] for r in decoded)
+    assert late_pages(spark, str(bronze), silver).isEmpty()
+    write_page(bronze, "sale_20230416_130000_3.json", [element(propertyCode="late")])
+    assert [r.page_file for r in late_pages(spark, str(bronze), silver).collect()] == ["sale_20230416_130000_3.json"]
+
+
+def test_job_killed_before_its_commit_repeats_cleanly(spark, tmp_path, bronze, monkeypatch):
+    """Whatever the dead run wrote, the next one writes it again, and only then is it there."""
+    from casametra.sources.ledger import Ledger
+
+    silver, undisturbed = str(tmp_path / "silver"), str(tmp_path / "undisturbed")
+    clean_snapshots(spark, str(bronze), silver)
+
+    def killed(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Ledger, "append", killed)
+        with pytest.raises(RuntimeError):
+            backfill(spark, str(bronze), silver)
+    assert ("sale", D9) not in ledger_rows(spark, silver)
+    # a page that the dead run could not know takes part in the repetition
+    write_page(bronze, "sale_20230409_130000_7.json", [element(propertyCode="between")])
+    result = backfill(spark, str(bronze), silver)
+    assert [w[:2] for w in result.written] == [("sale", D9)]
+    backfill(spark, str(bronze), undisturbed)
+    ours, theirs = (silver_table.read_history(spark, r) for r in (silver, undisturbed))
+    assert ours.count() == theirs.count() and ours.exceptAll(theirs).isEmpty()
+    assert {k: v[1] for k, v in ledger_rows(spark, silver).items()} == {k: v[1] for k, v in ledger_rows(spark, undisturbed).items()}
+    assert backfill(spark, str(bronze), silver).written == ()
+
+
+def test_commit_that_died_is_replaced_and_a_finished_one_kept(spark, tmp_path):
+    from casametra.plans.silver import LEDGER_SCHEMA
+    from casametra.sources.ledger import Ledger
+
+    ledger = Ledger(spark, str(tmp_path / "t"), LEDGER_SCHEMA)
+    assert ledger.commits() == [] and ledger.next() == 1 and ledger.entries().isEmpty()
+    (tmp_path / "t" / "_commits" / "commit=1" / "_temporary").mkdir(parents=True)
+    assert ledger.commits() == [] and ledger.entries().isEmpty()
+    row = spark.createDataFrame([("sale", D9, "p", 3)], LEDGER_SCHEMA)
+    ledger.append(row, 1)
+    assert ledger.commits() == [1] and ledger.next() == 2
+    with pytest.raises(ValueError, match="finished"):
+        ledger.append(row, 1)
+    ledger.append(row.limit(0), 2)
+    assert [tuple(r) for r in ledger.entries().collect()] == [("sale", D9, "p", 3, 1)]
+
+
+def test_history_from_before_the_ledger_is_recorded(spark, tmp_path, bronze):
+    silver = str(tmp_path / "silver")
+    backfill(spark, str(bronze), silver)
+    older = str(tmp_path / "older")
+    spark.read.parquet(silver).write.partitionBy("operation", "snapshot_date").parquet(older)
+    assert backfill(spark, str(bronze), older).written == ()
+    assert {k: n for k, (_, n) in ledger_rows(spark, older).items()} == {
+        k: n for k, (_, n) in ledger_rows(spark, silver).items()
+    }
+
+
+def test_snapshot_that_cleans_to_nothing_is_tried_again(spark, tmp_path):
+    root, silver = tmp_path / "bronze", str(tmp_path / "silver")
+    root.mkdir()
+    write_page(root, "sale_20230409_120000_1.json", [element(priceByArea=None)])
+    assert clean_snapshots(spark, str(root), silver).written == ()
+    write_page(root, "sale_20230409_120000_2.json", [element(propertyCode="better")])
+    assert clean_snapshots(spark, str(root), silver).written == (("sale", D9, 1),)
+    # the page without a row, in both runs, and the second one
+    assert ledger_rows(spark, silver) == {("sale", D9): (2, 1)}

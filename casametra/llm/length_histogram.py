@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from casametra.llm.common import Stage
 from casametra.llm.tokens import token_lengths
 
 #: Lengths in one block of the running sums.
@@ -80,5 +81,6 @@ def length_quantile(sums: DataFrame, share: float | Column) -> DataFrame:
 
 
 def token_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """The histogram of the documents with its sums."""
-    return with_sums(histogram(docs, path))
+    """The histogram of the documents with its sums; the texts are encoded once."""
+    stage = Stage(docs.sparkSession, "lengths")
+    return with_sums(stage.table(histogram(docs, path), "histogram"))

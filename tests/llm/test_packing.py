@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -48,6 +49,33 @@ def test_encoder_equals_the_tokenizer_of_the_file():
         assert tokens.encode(path, text).tolist() == other.encode(text, add_special_tokens=False).ids
 
 
+def test_runs_of_blanks_are_cut_as_the_pattern_does():
+    from tokenizers import Tokenizer
+
+    path = tokens.default_vocabulary()
+    other = Tokenizer.from_file(path)
+    rng = np.random.default_rng(1)
+    signs = [*"ab '\n\t \u3000\x85\x1c \xe91!s\u2028\u200b", "  ", "<|endoftext|>", "'s", "\n\n"]
+    for _ in range(1500):
+        text = "".join(rng.choice(signs, rng.integers(0, 30)))
+        assert tokens.encode(path, text).tolist() == other.encode(text, add_special_tokens=False).ids
+    n = 300_000
+    for text in (" " * n, "\n" * n, "\t" * n + "x", "a" * n, ("a  b\n\n" + " " * 50) * (n // 55)):
+        assert tokens.encode(path, text).tolist() == other.encode(text, add_special_tokens=False).ids
+
+
+def test_texts_of_millions_of_blanks_are_packed_and_counted(spark):
+    n = 5_000_000
+    texts = [" " * n, "\n" * n + "end", "a" * n, "x \t " * (n // 5), "a few words"]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    path = tokens.default_vocabulary()
+    sizes = [len(tokens.encode(path, t)) for t in texts]
+    packed = packing.pack(docs).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
+    assert {r.doc_id: r.n for r in packed} == {k: size + 1 for k, size in enumerate(sizes)}
+    counted = length_histogram.token_counts(docs).collect()
+    assert {r.n_tokens: r.n_docs for r in counted} == {size: sizes.count(size) for size in sizes}
+
+
 def check_packed(rows, texts, capacity):
     path = tokens.default_vocabulary()
     expected = sorted(tuple(np.append(tokens.encode(path, t), [2]).tolist()) for t in texts)

@@ -1,19 +1,23 @@
 """Language of a text by unigrams of pieces, over all segmentations.
 
 Each language has a probability for every piece of a fixed public byte-level vocabulary
-(pieces of up to ``PIECE_BYTES`` bytes, single bytes among them, so that every text has
-a segmentation). The probability of a word, with the blank before it, is the sum over
-all ways to cut it into pieces; a forward pass over its bytes adds them up. A text's
-score is the sum over its words, and the language with the best posterior is predicted.
+(single bytes are added, so that every text has a segmentation). The probability of a
+word, with the blank before it, is the sum over all ways to cut it into pieces. A
+forward pass over its bytes adds them up; it keeps the sums of as many bytes as the longest
+piece has, so a word may have any length, and brings them back to one at times, in each language
+by itself, so that none of them ever reaches zero. A text's score is the sum over its
+words, and the language with the best posterior is predicted.
 
 The piece probabilities are learned from at most ``SAMPLE`` documents of each language:
-Spark counts their words, and each round of expectation maximisation is a job over these
-counts whose expected piece counts, one row per language and piece, come back. Words that
-occur often are scored once per group of rows. Letters are lower-cased as far as Latin-1.
+Spark counts their words (those of up to ``LEARNED_BYTES`` bytes), and each round of
+expectation maximisation is a job over these counts whose expected piece counts, one row per
+language and piece, come back. Words that occur often are scored once per group of rows.
+Letters are lower-cased as far as Latin-1.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; so is
-everything if no language is given to learn from; a null doc_id is never learned from;
-words above ``LONGEST`` bytes are cut there; repeated rows are predicted alike.
+everything if no language is given to learn from; a null doc_id is never learned from; of
+rows with one id and language, the first text in byte order is learned from; repeated
+rows are predicted alike; text in a script that was not learned has a finite score.
 """
 
 from __future__ import annotations
@@ -29,18 +33,28 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casametra.llm.common import Stage
-from casametra.llm.words import mix, row_groups, text_bytes, word_hashes, words_of
+from casametra.llm.words import mix, row_groups, text_bytes, words_of
 
 #: Documents of each language that are learned from, at most.
 SAMPLE = 1500
 #: Rounds of expectation maximisation.
 ROUNDS = 2
-PIECE_BYTES = 8
-LONGEST = 64
+#: Longest word that is learned from; any word is scored.
+LEARNED_BYTES = 256
+#: Pieces up to this size are looked up everywhere, longer ones where they can begin.
+SHORT = 8
+#: Bytes after which the sums of a forward pass are brought back to one.
+RESCALED = 32
+#: Bytes of a word whose pieces are looked up at a time.
+BLOCK = 4096
 #: Expected counts added to every piece, in all, spread like the pieces of all languages.
 SMOOTHING = 50.0
-#: Powers of two per byte that keep the sums of a forward pass in range.
+#: Powers of two per byte that keep the sums of a forward pass near one.
 SCALE = 6.0
+#: Sums span many orders of magnitude within one piece's length; this type holds them all.
+REAL = np.longdouble
+if np.finfo(REAL).maxexp < 16000:
+    raise ImportError("the forward pass needs extended-precision floats")
 
 _TABLE_BITS = 21
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -55,11 +69,19 @@ def default_vocabulary() -> str:
 
 
 class Pieces(NamedTuple):
-    """A hash table of the pieces: hash and number at each place, a few in a second table."""
+    """A hash table of the pieces: hash and number at each place, a few in a second table.
+
+    ``begins`` has the hashes, in order, of what longer pieces begin with, from ``SHORT`` bytes on.
+    """
 
     lengths: np.ndarray
     keys: tuple[np.ndarray, np.ndarray]
     numbers: tuple[np.ndarray, np.ndarray]
+    begins: np.ndarray
+
+    @property
+    def longest(self) -> int:
+        return int(self.lengths.max())
 
 
 def _slot(hashes: np.ndarray, table: int) -> np.ndarray:
@@ -72,7 +94,7 @@ def pieces(path: str) -> Pieces:
     """The pieces of a vocabulary file of base64 pieces and ranks, one a line."""
     with open(path, "rb") as file:
         all_pieces = [base64.b64decode(line.split()[0]) for line in file if line.strip()]
-    kept = sorted({p for p in all_pieces if 0 < len(p) <= PIECE_BYTES} | {bytes([b]) for b in range(256)})
+    kept = sorted({p for p in all_pieces if p} | {bytes([b]) for b in range(256)})
     hashes = np.array([_hash_bytes(p) for p in kept], dtype=np.uint64)
     keys, numbers = [], []
     left = np.arange(len(kept))
@@ -85,7 +107,10 @@ def pieces(path: str) -> Pieces:
         left = np.setdiff1d(left, left[first])
     if len(left):
         raise ValueError("pieces do not fit the tables")
-    return Pieces(np.array([len(p) for p in kept]), tuple(keys), tuple(numbers))
+    begins = {_hash_bytes(p[:n]) for p in kept for n in range(SHORT, len(p))}
+    return Pieces(
+        np.array([len(p) for p in kept]), tuple(keys), tuple(numbers), np.array(sorted(begins), dtype=np.uint64)
+    )
 
 
 def _hash_bytes(piece: bytes) -> int:
@@ -97,6 +122,7 @@ def _hash_bytes(piece: bytes) -> int:
 
 def find_pieces(table: Pieces, hashes: np.ndarray) -> np.ndarray:
     """Piece number of each hash; the number of pieces where there is none."""
+    shape, hashes = hashes.shape, hashes.reshape(-1)
     slot = _slot(hashes, 0)
     same = table.keys[0][slot] == hashes
     found = np.where(same, table.numbers[0][slot], len(table.lengths))
@@ -104,40 +130,104 @@ def find_pieces(table: Pieces, hashes: np.ndarray) -> np.ndarray:
     if len(other):
         slot = _slot(hashes[other], 1)
         found[other] = np.where(table.keys[1][slot] == hashes[other], table.numbers[1][slot], len(table.lengths))
-    return found
+    return found.reshape(shape)
+
+
+#: Pieces that end at one place of equally long words: size, words (all if None), numbers.
+Found = tuple[int, np.ndarray | None, np.ndarray]
+
+
+def _is_among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+    if not len(ordered):
+        return np.zeros(values.shape, dtype=bool)
+    at = np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)
+    return ordered[at] == values
 
 
-def lattice(table: Pieces, letters: np.ndarray) -> dict[tuple[int, int], np.ndarray]:
-    """For equally long words (rows of bytes): piece numbers by (end, length)."""
+def matches(table: Pieces, letters: np.ndarray) -> Iterator[list[Found]]:
+    """For equally long words (rows of bytes): the pieces that end after each byte in turn."""
     n, length = letters.shape
-    out = {}
+    longest = min(table.longest, length)
     with np.errstate(over="ignore"):
-        prefix = np.zeros((length + 1, n), dtype=np.uint64)
-        for i in range(length):
-            prefix[i + 1] = prefix[i] * _BASE + letters[:, i] + np.uint64(1)
-        power = np.uint64(1)
-        for size in range(1, min(PIECE_BYTES, length) + 1):
-            power = power * _BASE
-            for end in range(size, length + 1):
-                out[end, size] = find_pieces(table, prefix[end] - prefix[end - size] * power)
-    return out
+        power = np.multiply.accumulate(np.r_[np.uint64(1), np.full(longest, _BASE, dtype=np.uint64)])
+        carried = np.zeros((1, n), dtype=np.uint64)  # hashes of beginnings, up to the block
+        for low in range(0, length, max(BLOCK // max(n, 1), longest)):
+            high = min(low + max(BLOCK // max(n, 1), longest), length)
+            prefix = np.empty((len(carried) + high - low, n), dtype=np.uint64)
+            prefix[: len(carried)] = carried
+            for i in range(low, high):
+                k = len(carried) + i - low
+                prefix[k] = prefix[k - 1] * _BASE + letters[:, i] + np.uint64(1)
+            base = low - len(carried) + 1  # the byte count that the first row belongs to
+            ends: list[list[Found]] = [[] for _ in range(low, high)]
+            for size in range(1, min(SHORT, high) + 1):
+                first = max(low + 1, size) - base
+                numbers = find_pieces(table, prefix[first:] - prefix[first - size : len(prefix) - size] * power[size])
+                hit = (numbers < len(table.lengths)).any(axis=1)
+                for k in np.flatnonzero(hit):
+                    ends[first + k + base - low - 1].append((size, None, numbers[k]))
+            if longest > SHORT and len(prefix) > SHORT:
+                whole = prefix[SHORT:] - prefix[:-SHORT] * power[SHORT]
+                start, word = np.nonzero(_is_among(whole, table.begins))
+                for size in range(SHORT + 1, longest + 1):
+                    keep = start + size < len(prefix)
+                    start, word = start[keep], word[keep]
+                    if not len(start):
+                        break
+                    hashes = prefix[start + size, word] - prefix[start, word] * power[size]
+                    numbers = find_pieces(table, hashes)
+                    hit = np.flatnonzero((numbers < len(table.lengths)) & (start + size + base > low))
+                    for end, group in _grouped(start[hit] + size + base - low - 1, hit):
+                        ends[end].append((size, word[group], numbers[group]))
+                    on = _is_among(hashes, table.begins)
+                    start, word = start[on], word[on]
+            carried = prefix[-min(len(prefix), longest) :]
+            yield from ends
+
+
+def _grouped(keys: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    order = np.argsort(keys, kind="stable")
+    distinct, low = np.unique(keys[order], return_index=True)
+    yield from zip(distinct.tolist(), np.split(values[order], low[1:]))
+
+
+def forward(found: list[list[Found]], n: int, weights: np.ndarray) -> np.ndarray:
+    """Sums over all segmentations of each beginning: (length + 1, words, languages)."""
+    sums = np.zeros((len(found) + 1, n, weights.shape[1]), dtype=REAL)
+    sums[0] = 1
+    for end, pieces_here in enumerate(found, start=1):
+        for size, words, numbers in pieces_here:
+            at = slice(None) if words is None else words
+            sums[end, at] += sums[end - size, at] * weights[numbers]
+    return sums
 
 
-def forward(found: dict, length: int, weights: np.ndarray) -> np.ndarray:
-    """Sums over all segmentations of each prefix: (length + 1, words, languages)."""
-    n = len(next(iter(found.values())))
-    sums = np.zeros((length + 1, n, weights.shape[1]))
+def log_sums(table: Pieces, letters: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Logarithm of the sum over all segmentations of each of some equally long words."""
+    n, length = letters.shape
+    kept = min(table.longest, length) + 1
+    sums = np.zeros((kept, n, weights.shape[1]), dtype=REAL)
     sums[0] = 1
-    for end in range(1, length + 1):
-        for size in range(1, min(PIECE_BYTES, end) + 1):
-            sums[end] += sums[end - size] * weights[found[end, size]]
-    return sums
+    moved = np.zeros((n, weights.shape[1]), dtype=REAL)
+    for end, pieces_here in enumerate(matches(table, letters), start=1):
+        total = np.zeros_like(sums[0])
+        for size, words, numbers in pieces_here:
+            before = sums[(end - size) % kept]
+            if words is None:
+                total += before * weights[numbers]
+            else:
+                total[words] += before[words] * weights[numbers]
+        sums[end % kept] = total
+        if end % RESCALED == 0:
+            sums /= total
+            moved += np.log(total)
+    return (np.log(sums[length % kept]) + moved).astype(np.float64)
 
 
 def scaled(probabilities: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Probabilities (pieces, languages) times a power of two per byte; a last row of zeros."""
-    weights = probabilities * np.exp2(SCALE * lengths)[:, None]
-    return np.vstack([weights, np.zeros((1, probabilities.shape[1]))])
+    weights = probabilities.astype(REAL) * np.exp2((SCALE * lengths).astype(REAL))[:, None]
+    return np.vstack([weights, np.zeros((1, probabilities.shape[1]), dtype=REAL)])
 
 
 class Spelled(NamedTuple):
@@ -156,16 +246,8 @@ def spelled(texts: pa.Array) -> Spelled:
     accented = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)) + 1
     lower[accented] += 32
     words = words_of(pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(lower)]))
-    start, end, text, hashes = words.start, words.end, words.text, words.hash
-    size = end - start
-    if len(size) and size.max() > LONGEST:
-        parts = -(-size // LONGEST)
-        nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-        start, end, text = np.repeat(start, parts) + nth * LONGEST, np.repeat(end, parts), np.repeat(text, parts)
-        end = np.minimum(end, start + LONGEST)
-        hashes = word_hashes(lower, start, end)
-    _, first, number = np.unique(hashes, return_index=True, return_inverse=True)
-    return Spelled(lower, start[first], end[first], text, number)
+    _, first, number = np.unique(words.hash, return_index=True, return_inverse=True)
+    return Spelled(lower, words.start[first], words.end[first], words.text, number)
 
 
 def by_length(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -185,9 +267,7 @@ def word_scores(table: Pieces, words: Spelled, weights: np.ndarray) -> np.ndarra
     """Log probability of each distinct word in each language."""
     out = np.empty((len(words.start), weights.shape[1]))
     for rows, letters in by_length(words.data, words.start, words.end):
-        length = letters.shape[1]
-        total = forward(lattice(table, letters), length, weights)[length]
-        out[rows] = np.log(total) - SCALE * np.log(2) * length
+        out[rows] = log_sums(table, letters, weights) - SCALE * np.log(2) * letters.shape[1]
     return out
 
 
@@ -210,9 +290,11 @@ def counted_words(sample: DataFrame) -> DataFrame:
                 part = batch.column("text").filter(pa.array([x == lang for x in langs]))
                 words = spelled(part)
                 n = np.bincount(words.number, minlength=len(words.start))
-                spelled_out = [words.data[s:e].tobytes() for s, e in zip(words.start, words.end, strict=True)]
+                short = np.flatnonzero(words.end - words.start <= LEARNED_BYTES)
+                spelled_out = [words.data[s:e].tobytes() for s, e in zip(words.start[short], words.end[short], strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(n)), pa.array(spelled_out, pa.binary()), pa.array(n, pa.int64())], ["lang", "word", "n"]
+                    [pa.array([lang] * len(short), pa.string()), pa.array(spelled_out, pa.binary()), pa.array(n[short], pa.int64())],
+                    ["lang", "word", "n"],
                 )
 
     counted = sample.select("lang", "text").mapInArrow(count, "lang string, word binary, n long")
@@ -231,20 +313,24 @@ def expected_counts(words: DataFrame, path: str, languages: list[str], weights:
             n = batch.column("n").to_numpy()
             for rows, letters in by_length(data, offsets[:-1], offsets[1:]):
                 length, k = letters.shape[1], lang[rows]
-                found = lattice(table, letters)
+                found = list(matches(table, letters))
                 if weights is None:
-                    for number in found.values():
-                        np.add.at(total, (number, k), n[rows])
+                    for _, words_, number in (x for here in found for x in here):
+                        at = slice(None) if words_ is None else words_
+                        np.add.at(total, (number, k[at]), n[rows][at])
                     continue
-                sums = np.take_along_axis(forward(found, length, weights), k[None, :, None], axis=2)[:, :, 0]
+                sums = np.take_along_axis(forward(found, len(rows), weights), k[None, :, None], axis=2)[:, :, 0]
                 after = np.zeros_like(sums)
                 after[length] = 1
-                for start in range(length - 1, -1, -1):
-                    for size in range(1, min(PIECE_BYTES, length - start) + 1):
-                        after[start] += weights[found[start + size, size], k] * after[start + size]
-                for (end, size), number in found.items():
-                    share = sums[end - size] * weights[number, k] * after[end] / sums[length]
-                    np.add.at(total, (number, k), share * n[rows])
+                for end in range(length, 0, -1):
+                    for size, words_, number in found[end - 1]:
+                        at = slice(None) if words_ is None else words_
+                        after[end - size, at] += weights[number, k[at]] * after[end, at]
+                for end in range(1, length + 1):
+                    for size, words_, number in found[end - 1]:
+                        at = slice(None) if words_ is None else words_
+                        share = sums[end - size, at] * weights[number, k[at]] * after[end, at] / sums[length, at]
+                        np.add.at(total, (number, k[at]), (share * n[rows][at]).astype(np.float64))
         piece, k = np.nonzero(total[:-1])
         yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(piece), pa.array(total[piece, k])], ["k", "piece", "n"])
 
@@ -265,17 +351,22 @@ def fit(docs: DataFrame, learn: Column, path: str | None = None) -> Model | None
     """A model of the documents with a language for which ``learn`` holds; None without any."""
     path = path or default_vocabulary()
     stage = Stage(docs.sparkSession, "language")
-    usable = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & learn)
+    usable = docs.filter(
+        F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & learn
+    ).select("doc_id", F.col("lang").cast("string").alias("lang"), "text", F.xxhash64("doc_id").alias("hash"))
     totals = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
     if not totals:
         return None
     languages = sorted(totals)
-    usable = usable.withColumn("_hash", F.xxhash64("doc_id"))
-    order = Window.partitionBy("lang").orderBy("_hash")
-    picked = usable.select("lang", "_hash").withColumn("_nth", F.row_number().over(order)).filter(F.col("_nth") <= SAMPLE)
-    # one row per language, so that the texts are filtered where they are read
-    cut = stage.table(picked.groupBy("lang").agg(F.max("_hash").alias("_cut")), "cut")
-    sample = usable.join(cut, "lang").filter("_hash <= _cut").select("doc_id", "lang", "text").dropDuplicates(["doc_id", "lang"])
+    # a hash bound keeps about twice the sample; only those ids are ranked, each once
+    share = F.create_map(*[F.lit(v) for x in languages for v in (x, min(2.0 * SAMPLE / totals[x], 1.0))])
+    below = (F.pmod("hash", F.lit(1 << 32)) / float(1 << 32)) < share[F.col("lang")]
+    order = Window.partitionBy("lang").orderBy("hash", "doc_id")
+    few = usable.filter(below).select("lang", "hash", "doc_id").distinct()
+    picked = few.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= SAMPLE).select("lang", "doc_id")
+    # at most SAMPLE ids a language are broadcast; texts are filtered where they are read
+    chosen = stage.table(picked, "picked")
+    sample = usable.filter(below).join(F.broadcast(chosen), ["lang", "doc_id"]).groupBy("lang", "doc_id").agg(F.min("text").alias("text"))
     words = stage.table(counted_words(sample).repartition(8), "words")
     table = pieces(path)
     weights = scaled(probabilities(expected_counts(words, path, languages, None)), table.lengths)

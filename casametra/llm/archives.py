@@ -11,13 +11,15 @@ Each record becomes a WARC record with a made-up but repeatable identifier, the
 a WARC timestamp, the type (``response``, or ``revisit`` for the repetition of a payload
 of some size) and the payload's digest. Headers that ARC put into the record stay there.
 
-Files are written by Spark's text writer, so that they arrive on any file system and a
-lost task leaves nothing half-written; a record that reads as UTF-8 text, as these do,
-keeps its bytes. Files are read back whole, one per row, and cut by declared lengths.
+Heads and payloads are bytes throughout, in whatever encoding a page has. Files are written
+by Spark's text writer, which writes the bytes it is given, so that they arrive on any file
+system and a lost task leaves nothing half-written. Files are read back whole, one per row,
+and cut by declared lengths.
 
 Defined cases: a null payload is empty, a null URL is ``about:blank``, and blanks in a
 URL are percent-coded. A null key leaves its header empty; such a record is a response
-only if no record with a key has its payload. Repeated keys with one payload are all
+only if no record with a key has its payload. Bytes of a header line that are no UTF-8 are
+percent-coded. Repeated keys with one payload are all
 responses. No pages, no records. A record whose bytes end before its declared length, or
 whose payload does not have its digest, is an error.
 """
@@ -25,6 +27,7 @@ whose payload does not have its digest, is an error.
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -42,6 +45,9 @@ ARC_BYTES = 1 << 20
 #: Records of a WARC file at most, so that a file stays readable in one piece.
 RECORDS_PER_FILE = 20_000
 
+#: Parts in which records with one payload meet its first one.
+SALTS = 16
+
 #: Fixed values of the formats.
 ARC_FIELDS = {
     "1": "URL IP-address Archive-date Content-type Archive-length",
@@ -49,6 +55,13 @@ ARC_FIELDS = {
 }
 KEY_HEADER = "X-Page-Id"
 REFERS_HEADER = "WARC-Refers-To-Page-Id"
+BYTES_HEADER = "X-Payload-Bytes"
+
+
+def line_text(line: bytes) -> str:
+    """A header line as text; bytes that are no UTF-8 are percent-coded."""
+    text = line.decode("utf-8", errors="surrogateescape")
+    return re.sub("[\udc80-\udcff]", lambda m: f"%{ord(m[0]) - 0xDC00:02X}", text)
 
 
 class ArcRecord(NamedTuple):
@@ -71,7 +84,7 @@ def parse_arc(content: bytes) -> Iterator[ArcRecord]:
             at += 1
             continue
         line_end = content.index(b"\n", at)
-        fields = content[at:line_end].decode("utf-8").rstrip("\r").split(" ")
+        fields = line_text(content[at:line_end]).rstrip("\r").split(" ")
         begin, length = line_end + 1, int(fields[-1])
         block = content[begin : begin + length]
         if len(block) < length:
@@ -145,12 +158,12 @@ def _one_file(name: str, content: bytearray) -> pa.RecordBatch:
 
 RECORD_SCHEMA = (
     "record_id string, record_key long, uri string, ip string, date string, content_type string, "
-    "http_head string, payload string, payload_bytes long, payload_digest string"
+    "http_head binary, payload binary, payload_bytes long, payload_digest string"
 )
 
 
-def _header(head: str, name: str) -> str:
-    for line in head.split("\r\n"):
+def _header(head: bytes, name: str) -> str:
+    for line in line_text(head).split("\r\n"):
         if line.lower().startswith(name.lower() + ":"):
             return line.split(":", 1)[1].strip()
     return ""
@@ -171,7 +184,7 @@ def converted(archives: DataFrame) -> DataFrame:
                     head, blank, payload = record.block.partition(b"\r\n\r\n")
                     if not blank:
                         head, payload = b"", record.block
-                    head = (head + blank).decode()
+                    head += blank
                     d = record.date
                     key = _header(head, KEY_HEADER)
                     rows.append(
@@ -179,7 +192,7 @@ def converted(archives: DataFrame) -> DataFrame:
                             f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{name}#{record.offset} {record.url}')}>",
                             int(key) if key else None, record.url, record.ip,
                             f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z",
-                            record.content_type, head, payload.decode(), len(payload), hashlib.sha256(payload).hexdigest(),
+                            record.content_type, head, payload, len(payload), hashlib.sha256(payload).hexdigest(),
                         )
                     )
                 if rows:
@@ -191,7 +204,8 @@ def converted(archives: DataFrame) -> DataFrame:
 
 
 FIELDS = [f.split(" ")[0] for f in RECORD_SCHEMA.split(", ")]
-TYPES = [pa.int64() if f.endswith(" long") else pa.string() for f in RECORD_SCHEMA.split(", ")]
+_ARROW = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+TYPES = [_ARROW[f.split(" ")[1]] for f in RECORD_SCHEMA.split(", ")]
 
 
 def with_types(records: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
@@ -203,23 +217,31 @@ def with_types(records: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFr
         .filter("_n > 1 AND _first IS NOT NULL")
         .drop("_n")
     )
-    # without nulls and with small payloads apart, so that no key gathers what never matches
-    joined = records.join(repeated, "payload_digest", "left")
-    revisit = (F.col("payload_bytes") >= min_bytes) & F.col("_first").isNotNull() & ~F.col("record_key").eqNullSafe(F.col("_first"))
+    # a small payload meets nothing, under its record's own key; a payload that many records
+    # have meets its first record in several parts
+    large = F.col("payload_bytes") >= min_bytes
+    parts = repeated.select(
+        F.col("payload_digest").alias("_key"), "_first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
+    )
+    joined = records.withColumns({
+        "_key": F.when(large, F.col("payload_digest")).otherwise(F.col("record_id")),
+        "_salt": F.when(large, F.pmod(F.xxhash64("record_id"), F.lit(SALTS)).cast("int")).otherwise(0),
+    }).join(parts, ["_key", "_salt"], "left")
+    revisit = large & F.col("_first").isNotNull() & ~F.col("record_key").eqNullSafe(F.col("_first"))
     return joined.select(
         "*",
         F.when(revisit, "revisit").otherwise("response").alias("record_type"),
         F.when(revisit, F.col("_first")).alias("refers_to"),
-    ).drop("_first")
+    ).drop("_first", "_key", "_salt")
 
 
 # --- WARC files -------------------------------------------------------------
 
 
 def warc_text(records: DataFrame) -> DataFrame:
-    """Each typed record as the text of a WARC record, less the very last line end."""
+    """Each typed record as a WARC record, less the very last line end."""
     revisit = F.col("record_type") == "revisit"
-    block = F.concat("http_head", F.when(revisit, "").otherwise(F.col("payload")))
+    block = F.concat("http_head", F.when(revisit, F.lit(b"")).otherwise(F.col("payload")))
     end = "\r\n"
     head = F.concat(
         F.lit("WARC/1.1\r\nWARC-Type: "), "record_type",
@@ -228,6 +250,7 @@ def warc_text(records: DataFrame) -> DataFrame:
         F.lit("\r\nWARC-Date: "), "date",
         F.lit("\r\nWARC-IP-Address: "), "ip",
         F.lit("\r\nWARC-Payload-Digest: sha256:"), "payload_digest",
+        F.lit(f"\r\n{BYTES_HEADER}: "), F.col("payload_bytes").cast("string"),
         F.when(
             revisit,
             F.concat(
@@ -238,7 +261,8 @@ def warc_text(records: DataFrame) -> DataFrame:
         F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "),
         F.octet_length(block).cast("string"), F.lit(end + end),
     )
-    return records.select(F.concat(head, block, F.lit("\r\n\r")).alias("value"))
+    # bytes as they are: the cast to text checks and changes nothing
+    return records.select(F.concat(head.cast("binary"), block, F.lit(b"\r\n\r")).cast("string").alias("value"))
 
 
 def write_warc(records: DataFrame, path: str) -> None:
@@ -253,7 +277,7 @@ def parse_warc(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         head_end = content.find(b"\r\n\r\n", at)
         if head_end < 0 or not content.startswith(b"WARC/", at):
             raise ValueError(f"no WARC record at byte {at}")
-        lines = content[at:head_end].decode().split("\r\n")[1:]
+        lines = line_text(content[at:head_end]).split("\r\n")[1:]
         fields = {k.strip().lower(): v.strip() for k, v in (x.split(":", 1) for x in lines)}
         begin = head_end + 4
         end = begin + int(fields["content-length"])
@@ -282,7 +306,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                 rows = []
                 for fields, block in parse_warc(unzipped(content.as_buffer().to_pybytes())):
                     head, blank, payload = block.partition(b"\r\n\r\n")
-                    head = (head + blank).decode()
+                    head += blank
                     digest = fields["warc-payload-digest"].removeprefix("sha256:")
                     kind = fields["warc-type"]
                     if kind == "response" and hashlib.sha256(payload).hexdigest() != digest:
@@ -292,8 +316,8 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                         (
                             fields["warc-record-id"], int(key) if key else None, fields["warc-target-uri"], fields["warc-date"],
                             kind, int(refers) if refers else None, digest,
-                            len(payload) if kind == "response" else int(_header(head, "Content-Length")),
-                            payload.decode() if kind == "response" else None,
+                            len(payload) if kind == "response" else int(fields[BYTES_HEADER.lower()]),
+                            payload if kind == "response" else None,
                         )
                     )
                 if rows:
@@ -306,10 +330,10 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
 READ_SCHEMA = (
     "record_id string, record_key long, uri string, date string, record_type string, refers_to long, "
-    "payload_digest string, payload_bytes long, payload string"
+    "payload_digest string, payload_bytes long, payload binary"
 )
 READ_FIELDS = [f.split(" ")[0] for f in READ_SCHEMA.split(", ")]
-READ_TYPES = [pa.int64() if f.endswith(" long") else pa.string() for f in READ_SCHEMA.split(", ")]
+READ_TYPES = [_ARROW[f.split(" ")[1]] for f in READ_SCHEMA.split(", ")]
 
 
 def archive_pages(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:

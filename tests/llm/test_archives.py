@@ -40,10 +40,10 @@ def test_converted_fields(spark):
     files = spark.createDataFrame([("a.arc", bytearray(arc("1", ("http://h/p", block), ("http://h/q", b"no head"))))], "name string, content binary")
     first, second = archives.converted(files).orderBy("uri").collect()
     again = archives.converted(files).orderBy("uri").first()
-    assert (first.record_key, first.uri, first.date, first.payload) == (7, "http://h/p", "1997-02-03T04:05:06Z", "payload")
+    assert (first.record_key, first.uri, first.date, first.payload) == (7, "http://h/p", "1997-02-03T04:05:06Z", b"payload")
     assert first.payload_digest == hashlib.sha256(b"payload").hexdigest() and first.payload_bytes == 7
     assert first.record_id == again.record_id != second.record_id and first.record_id.startswith("<urn:uuid:")
-    assert (second.record_key, second.http_head, second.payload) == (None, "", "no head")
+    assert (second.record_key, second.http_head, second.payload) == (None, b"", b"no head")
 
 
 BIG = "<html>" + "x" * 200 + "\r\n\r\nWARC/1.1\r\né</html>"
@@ -64,13 +64,41 @@ def test_pages_survive_the_round_trip(spark, tmp_path):
         assert (r.payload_bytes, r.payload_digest) == (len(data), hashlib.sha256(data).hexdigest())
         revisit = html == BIG and r.record_key != 3
         assert (r.record_type, r.refers_to) == (("revisit", 3) if revisit else ("response", None))
-        assert r.payload == (None if revisit else html)
+        assert r.payload == (None if revisit else data)
     text = b"".join(gzip.decompress(f.read_bytes()) for f in sorted((tmp_path / "warc").glob("part-*.gz")))
     assert text.count(b"WARC-Type: ") == len(PAGES) and text.endswith(b"\r\n\r\n")
     fields = [f for f, _ in archives.parse_warc(text)]
     assert len({f["warc-record-id"] for f in fields}) == len(PAGES)
 
 
+def test_pages_in_any_encoding_keep_their_bytes(spark, tmp_path):
+    """Latin-1, Shift-JIS, zero bytes and a URL and a head that are no UTF-8."""
+    bodies = ["café".encode("latin-1") * 50, "日本語".encode("shift_jis") * 60, bytes(range(256)) * 3, "café".encode("latin-1") * 50, b"\xe9"]
+    head = b"HTTP/1.0 200 OK\r\nServer: caf\xe9\r\nX-Page-Id: %d\r\n\r\n"
+    content = bytearray(archives.arc_version_block("1", "a.arc"))
+    for k, body in enumerate(bodies):
+        block = head % k + body
+        content += b"http://h/caf\xe9/%d 1.2.3.4 19970203040506 text/html %d\n" % (k, len(block)) + block + b"\n"
+    files = spark.createDataFrame([("a.arc", content)], "name string, content binary")
+    typed = archives.with_types(archives.converted(files))
+    archives.write_warc(typed, str(tmp_path / "w"))
+    rows = archives.read_warc(spark, str(tmp_path / "w")).orderBy("record_key").collect()
+    assert [r.uri for r in rows] == [f"http://h/caf%E9/{k}" for k in range(5)]
+    assert [r.payload_digest for r in rows] == [hashlib.sha256(b).hexdigest() for b in bodies]
+    assert [(r.record_type, r.refers_to) for r in rows] == [("response", None)] * 3 + [("revisit", 0), ("response", None)]
+    assert [None if r.payload is None else bytes(r.payload) for r in rows] == [*bodies[:3], None, bodies[4]]
+
+
+def test_payloads_that_many_pages_have(spark):
+    """Empty pages and copies of one large page, a third of the table each."""
+    rows = [(f"id{k}", k, 0 if k % 3 == 0 else 500, "empty" if k % 3 == 0 else "same" if k % 3 == 1 else f"d{k}") for k in range(3000)]
+    records = spark.createDataFrame(rows, "record_id string, record_key long, payload_bytes long, payload_digest string")
+    typed = archives.with_types(records)
+    counts = {r.record_type: r["count"] for r in typed.groupBy("record_type").count().collect()}
+    assert counts == {"response": 2001, "revisit": 999} and typed.filter("refers_to <> 1").isEmpty()
+    assert typed.columns == [*records.columns, "record_type", "refers_to"]
+
+
 def test_equal_keys_with_one_payload_are_all_responses(spark, tmp_path):
     pages = spark.createDataFrame([(1, "u", BIG), (1, "v", BIG)], "page_id long, url string, html string")
     assert {r.record_type for r in archives.archive_pages(pages, str(tmp_path / "w")).collect()} == {"response"}

@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 import driver_queries
 import driver_views as views
 from casametra.plans.gold import write_gold
+from casametra.plans.maintained import GoldState
+from casametra.plans.maintained import write_gold as write_gold_from_state
 from casametra.plans.silver import backfill
 from casametra.sources.silver_table import read_history
 from casametra.staging import scratch_dir
@@ -94,6 +96,20 @@ def gold_job(spark: SparkSession, history: DataFrame) -> None:
     )
 
 
+def one_more_snapshot(spark: SparkSession, history: DataFrame) -> tuple[float, float]:
+    """Seconds to build the maintained state of all snapshots but the last, and for gold after that one."""
+    root = scratch_dir(spark, "state")
+    days = sorted(r[0] for r in history.select("snapshot_date").distinct().collect())
+    state = GoldState(spark, f"{root}/state", views.MARKET)
+    start = time.perf_counter()
+    state.absorb(history.filter(F.col("snapshot_date") < days[-1]), [(None, d) for d in days[:-1]])
+    built = time.perf_counter() - start
+    start = time.perf_counter()
+    state.absorb(history.filter(F.col("snapshot_date") == days[-1]), [(None, days[-1])])
+    write_gold_from_state(spark, state, f"{root}/gold", F.lit("2026-01-01T12:00:00+00:00"))
+    return round(built, 4), round(time.perf_counter() - start, 4)
+
+
 def replicated(history: DataFrame, times: int) -> DataFrame:
     """The history with each property as so many properties of the same snapshots."""
     copy = F.explode(F.sequence(F.lit(1), F.lit(times))).alias("_copy")
@@ -125,6 +141,7 @@ def main() -> None:
     results["silver_job"] = timed(lambda: roots.append(silver_job(spark, pages_root)), 1)
     history = read_history(spark, roots[-1])
     results["gold_job"] = timed(lambda: gold_job(spark, history), runs)
+    built, results["gold_after_one_more_snapshot"] = one_more_snapshot(spark, history)
     # the same job over a history four times as large, written to the same shared folder
     larger = f"{scratch_dir(spark, 'larger')}/history"
     replicated(history, SCALE).write.partitionBy("snapshot_date").parquet(larger)
@@ -138,6 +155,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": results,
                 "sf": float(os.path.basename(sf_dir.rstrip("/")).removeprefix("sf") or 0),
+                "gold_state_built": built,
                 "gold_job_larger": {"times": SCALE, "sec": scaled, "power_of_input": round(growth, 2)},
                 "cpus": spark.sparkContext.defaultParallelism,
                 "spark": spark.version,

@@ -49,7 +49,9 @@ def recent_invocations(
     lookback. An invocation succeeded when its line shows no sign of failure.
     Of lines with one timestamp, failures count as newer, then longer ones, so
     that the rows alone decide and never their order. Lines without a readable time
-    are the oldest; ``ts_text``, if there is such a column, is what is shown of them.
+    are the oldest, so they count only where dated lines leave room in the window. They are
+    not held against the lookback: an export has the lines of a time range that its
+    query names. ``ts_text``, if there is such a column, is what is shown of them.
     """
     lookback = F.make_dt_interval(F.lit(params.lookback_days))
     newest_first = [

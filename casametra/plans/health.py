@@ -92,12 +92,12 @@ def _cost_check(costs: DataFrame, now: Column, params: HealthParams) -> DataFram
     by_month = history.agg(
         sorted_by(F.collect_list(F.struct("month", "services")), "month")
     )
+    left_out = f"; not counted: {', '.join(params.excluded_services)}" if params.excluded_services else ""
     return health.month_to_date_cost(costs, now, params).select(
         "status",
-        F.format_string(
-            "Cost: %s ($%.2f month-to-date, excluding domain/registrar)",
-            "status",
-            F.col("included_total").cast("double"),
+        F.concat(
+            F.format_string("Cost: %s ($%.2f this month so far", "status", F.col("included_total").cast("double")),
+            F.lit(f"{left_out})"),
         ).alias("summary"),
         F.struct(
             F.col("included_total").cast("double").alias("included_total_usd"),

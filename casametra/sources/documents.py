@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,10 +66,10 @@ def read_document(
 def read_document_if_available(
     spark: SparkSession, path: str, schema: T.StructType, versions: Sequence[str]
 ) -> DataFrame | None:
-    """Like ``read_document``, with None in place of any failure."""
+    """Like ``read_document``, with None for a document that is missing, damaged or of another version."""
     try:
         return read_document(spark, path, schema, versions)
-    except Exception:  # the document is optional to its readers, whatever went wrong
+    except (PySparkException, ValueError):
         return None
 
 

@@ -16,12 +16,16 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     Where the session names none, it is a folder in the session's warehouse, which
-    driver and executors share too. It is never a folder of one machine's own.
+    driver and executors share too. On a cluster one of the two must be named: the
+    warehouse's default is a folder of the driver's own, and raises ``ValueError``.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        named = spark.sparkContext.getConf().contains("spark.sql.warehouse.dir")
+        if not named and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staging"
     return configured.rstrip("/")
 

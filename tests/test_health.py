@@ -302,3 +302,26 @@ def test_health_tables_are_read_from_exports(spark, tmp_path):
     assert stamps == ["2026-06-15T11:00:00", "yesterday"]
     assert doc["api_quota"]["details"]["credential_sets"]["sale_requests"]["monthly_requests"]["2026-05"] == 80.0
     assert doc["aws_cost"]["details"]["included_total_usd"] == 1.5
+
+
+def test_lines_without_a_readable_time_fill_what_dated_ones_leave(spark):
+    """They are older than all dated lines, whatever the lookback is."""
+    import datetime
+
+    day = datetime.datetime(2026, 6, 1)
+    rows = [("f", day - datetime.timedelta(days=k), 1000.0, "REPORT") for k in range(3)]
+    rows += [("f", None, 2000.0 + k, "REPORT Status: ERROR") for k in range(4)] + [("g", None, 1.0, "REPORT")]
+    df = spark.createDataFrame(rows, "function_name string, ts timestamp, duration_ms double, message string")
+    found = health.recent_invocations(df, F.lit(day), HealthParams(history_window=5)).collect()
+    of_f = sorted((r.recency, r.ts is not None, r.succeeded) for r in found if r.function_name == "f")
+    assert of_f == [(1, True, True), (2, True, True), (3, True, True), (4, False, False), (5, False, False)]
+    assert [(r.recency, r.ts) for r in found if r.function_name == "g"] == [(1, None)]
+
+
+def test_cost_summary_names_what_it_leaves_out(spark):
+    from casametra.plans.health import _cost_check
+
+    spent = costs(spark, ("2026-06-01", "Compute", "1.50"))
+    for services, end in ((("Domains",), "; not counted: Domains)"), ((), "so far)")):
+        row = _cost_check(spent, now(), HealthParams(excluded_services=services)).first()
+        assert row.summary.endswith(end)

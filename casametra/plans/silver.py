@@ -35,6 +35,7 @@ from casametra.sources.bronze import (
 )
 from casametra.sources.ledger import Ledger
 from casametra.sources.silver_table import write_snapshots, written_snapshots
+from casametra.staging import Staging
 
 LEDGER_SCHEMA = T.StructType(
     [
@@ -102,24 +103,27 @@ def _run(
             raise
         return CleaningResult((), snapshots_found=False)
 
-    decoded = decode_keys(keys)
-    bad = skipped_keys(decoded)
-    n_bad = bad.count()
-    chosen = snapshots_of(valid_keys(decoded))
-    if target_date is not None:
-        chosen = snapshots_on(chosen, target_date)
-    elif not everything:
-        chosen = latest_snapshots(chosen)
-
-    ledger = snapshot_ledger(spark, silver_root)
-    # One row per operation and snapshot date: as many as the calendar has.
-    todo = unwritten(chosen, recorded_snapshots(ledger)).select(*SNAPSHOT).collect()
-    if not todo:
-        return CleaningResult((), not chosen.isEmpty(), n_bad, bad)
-
-    pages = scan_pages(spark, bronze_root, [tuple(row) for row in todo])
-    write_snapshots(to_stored(explode_elements(pages), bounds), silver_root)
-    number = record_written(ledger, silver_root, valid_keys(decoded), todo)
+    bad = skipped_keys(decode_keys(keys))
+    with Staging(spark) as stage:
+        # Every page costs a look at its file: once a run, by as few tasks as keep all cores busy.
+        few = keys.coalesce(4 * spark.sparkContext.defaultParallelism)
+        decoded = stage.table(decode_keys(few), "keys")
+        n_bad = skipped_keys(decoded).count()
+        chosen = snapshots_of(valid_keys(decoded))
+        if target_date is not None:
+            chosen = snapshots_on(chosen, target_date)
+        elif not everything:
+            chosen = latest_snapshots(chosen)
+
+        ledger = snapshot_ledger(spark, silver_root)
+        # One row per operation and snapshot date: as many as the calendar has.
+        todo = unwritten(chosen, recorded_snapshots(ledger)).select(*SNAPSHOT).collect()
+        if not todo:
+            return CleaningResult((), not chosen.isEmpty(), n_bad, bad)
+
+        pages = scan_pages(spark, bronze_root, [tuple(row) for row in todo])
+        write_snapshots(to_stored(explode_elements(pages), bounds), silver_root)
+        number = record_written(ledger, silver_root, valid_keys(decoded), todo)
     return CleaningResult(_committed_rows(ledger, number), True, n_bad, bad)
 
 

@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import itertools
+import os
+import uuid
+from collections.abc import Iterator
+
+from py4j.java_gateway import JavaObject
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -208,21 +214,49 @@ def land_pages(spark: SparkSession, sf_dir: str, root: str) -> None:
 
 
 def land(pages_: DataFrame, root: str) -> None:
+    """Pages as files of their own, and two files whose names don't decode.
+
+    In a folder that tasks can open as files they write the pages themselves; elsewhere Spark's
+    text writer makes a folder of each page, whose file the driver then renames.
+    """
     spark = pages_.sparkSession
-    landed = f"{root}-landing"
-    pages_.write.partitionBy("page_file").text(landed)
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
     fs.mkdirs(path(root))
-    folders = fs.listStatus(path(landed))
-    for folder in folders:
+    if fs.getUri().getScheme() == "file":
+        write_files(pages_, path(root).toUri().getPath())
+    else:
+        rename_files(pages_, root, fs)
+    for name in ("sale_20231301_120000_1.json", "auction_20230101_120000_1.json"):
+        out = fs.create(path(f"{root}/{name}"))
+        out.writeBytes("{}")
+        out.close()
+
+
+def write_files(pages_: DataFrame, folder: str) -> None:
+    """A file for each page name, a line for each of its rows, which are all in one task.
+
+    A file gets its name when it is whole, so that a task may be repeated.
+    """
+
+    def write(rows: Iterator[Row]) -> None:
+        for name, of_name in itertools.groupby(rows, key=lambda r: r["page_file"]):
+            hidden = f"{folder}/.{name}-{uuid.uuid4().hex}"
+            with open(hidden, "w", encoding="utf-8", newline="") as out:
+                out.writelines(f"{r['body']}\n" for r in of_name)
+            os.replace(hidden, f"{folder}/{name}")
+
+    pages_.select("page_file", "body").sortWithinPartitions("page_file").foreachPartition(write)
+
+
+def rename_files(pages_: DataFrame, root: str, fs: JavaObject) -> None:
+    path = pages_.sparkSession._jvm.org.apache.hadoop.fs.Path
+    landed = f"{root}-landing"
+    pages_.write.partitionBy("page_file").text(landed)
+    for folder in fs.listStatus(path(landed)):
         name = folder.getPath().getName()
         if not name.startswith("page_file="):
             continue
         for part in fs.listStatus(folder.getPath()):
             fs.rename(part.getPath(), path(f"{root}/{name.removeprefix('page_file=')}"))
-    for name in ("sale_20231301_120000_1.json", "auction_20230101_120000_1.json"):
-        out = fs.create(path(f"{root}/{name}"))
-        out.writeBytes("{}")
-        out.close()
     fs.delete(path(landed), True)

@@ -210,7 +210,8 @@ def silver_history_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 def silver_incremental(spark: SparkSession, sf: str) -> DataFrame:
     """The partitions of rent come first; the guard then lets only sale through."""
     root = scratch(spark, "silver")
-    stored = cleaning.to_stored(page_elements(spark, sf))
+    # both runs take rows from what the pages gave once
+    stored = staging(spark, "cleaned").table(cleaning.to_stored(page_elements(spark, sf)), "rows")
     silver_table.write_snapshots(stored.filter(F.col("operation") == "rent"), root)
     written = silver_table.written_snapshots(spark, root)
     fresh = snapshots.unwritten(stored, written)

@@ -2,7 +2,8 @@
 
 Each is ``row_number() = 1``, which Spark plans as a per-partition group limit
 before the shuffle: of a property that fills a third of the table, each map
-task sends one row.
+task sends one row. The property comes first among the keys: sorts compare the first
+key's leading bytes, and whole rows only where these are equal.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ def first_per_snapshot(
     """
     return _one_per(
         listings,
-        ("operation", "snapshot_date", "propertyCode"),
+        ("propertyCode", "operation", "snapshot_date"),
         [F.col(c).asc() for c in order],
     )
 
@@ -45,7 +46,7 @@ def latest_per_property(
     """
     return _one_per(
         listings,
-        ("operation", "propertyCode"),
+        ("propertyCode", "operation"),
         [
             F.col("snapshot_date").desc_nulls_first(),
             *[F.col(c).desc() for c in order],

@@ -142,7 +142,7 @@ def paged(elements_: DataFrame, damaged: bool = False) -> DataFrame:
     If ``damaged``, some pages are cut off in the middle of the text.
     """
     names = ELEMENT_SCHEMA.fieldNames()
-    block = ("page_operation", "snapshot_date", "block")
+    block = ("block", "page_operation", "snapshot_date")
     position = F.row_number().over(Window.partitionBy(*block).orderBy(*ORDER)) - 1
     item = F.struct(F.col("position"), F.struct(*names).alias("element"))
     grouped = (
@@ -159,14 +159,15 @@ def paged(elements_: DataFrame, damaged: bool = False) -> DataFrame:
         )
     )
     cut_off = F.lit(damaged) & ((F.col("block") + F.col("actualPage")) % 7 == 3)
-    return grouped.select(
+    # a column first, so that each page is put together once
+    return grouped.withColumn("body", body).select(
         F.format_string(
             "%s_%s_120000_%d.json",
             "page_operation",
             F.date_format("snapshot_date", "yyyyMMdd"),
             F.col("block") * 100000 + F.col("actualPage"),
         ).alias("page_file"),
-        F.when(cut_off, body.substr(F.lit(1), F.length(body) - 1)).otherwise(body).alias("body"),
+        F.when(cut_off, F.expr("substr(body, 1, length(body) - 1)")).otherwise(F.col("body")).alias("body"),
     )
 
 

@@ -26,16 +26,19 @@ from casametra.operators.snapshots import (
 )
 from casametra.params import SalePriceBounds
 from casametra.sources.bronze import (
+    PAGES_PER_TASK,
     decode_keys,
     explode_elements,
     list_keys,
+    open_folder,
+    open_pages,
     scan_pages,
     skipped_keys,
     valid_keys,
 )
 from casametra.sources.ledger import Ledger
 from casametra.sources.silver_table import write_snapshots, written_snapshots
-from casametra.staging import Staging
+from casametra.staging import Staging, scratch_dir
 
 LEDGER_SCHEMA = T.StructType(
     [
@@ -103,12 +106,12 @@ def _run(
             raise
         return CleaningResult((), snapshots_found=False)
 
-    bad = skipped_keys(decode_keys(keys))
     with Staging(spark) as stage:
         # Every page costs a look at its file: once a run, by as few tasks as keep all cores busy.
         few = keys.coalesce(4 * spark.sparkContext.defaultParallelism)
         decoded = stage.table(decode_keys(few), "keys")
-        n_bad = skipped_keys(decoded).count()
+        bad = _kept_keys(skipped_keys(decoded))
+        n_bad = bad.count()
         chosen = snapshots_of(valid_keys(decoded))
         if target_date is not None:
             chosen = snapshots_on(chosen, target_date)
@@ -117,16 +120,29 @@ def _run(
 
         ledger = snapshot_ledger(spark, silver_root)
         # One row per operation and snapshot date: as many as the calendar has.
-        todo = unwritten(chosen, recorded_snapshots(ledger)).select(*SNAPSHOT).collect()
+        counts = unwritten(chosen, recorded_snapshots(ledger)).select(*SNAPSHOT, "pages").collect()
+        todo = [(row["operation"], row["snapshot_date"]) for row in counts]
         if not todo:
             return CleaningResult((), not chosen.isEmpty(), n_bad, bad)
 
-        pages = scan_pages(spark, bronze_root, [tuple(row) for row in todo])
+        if open_folder(spark, bronze_root) is None:
+            pages = scan_pages(spark, bronze_root, todo)
+        else:
+            n_pages = sum(row["pages"] for row in counts)
+            tasks = max(spark.sparkContext.defaultParallelism, -(-n_pages // PAGES_PER_TASK))
+            pages = open_pages(valid_keys(decoded).filter(_of_snapshots(todo)), tasks)
         write_snapshots(to_stored(explode_elements(pages), bounds), silver_root)
         number = record_written(ledger, silver_root, valid_keys(decoded), todo)
     return CleaningResult(_committed_rows(ledger, number), True, n_bad, bad)
 
 
+def _kept_keys(keys: DataFrame) -> DataFrame:
+    """Keys as this run saw them, to be read until the session ends; no list of files stays with the result."""
+    root = f"{scratch_dir(keys.sparkSession, 'skipped')}/keys"
+    keys.write.parquet(root)
+    return keys.sparkSession.read.schema(keys.schema).parquet(root)
+
+
 def snapshot_ledger(spark: SparkSession, silver_root: str) -> Ledger:
     """The ledger of a history.
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import json
+import os
+from collections.abc import Iterable, Iterator
 from datetime import date
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,8 +22,31 @@ _PAGE_WITH_CORRUPT = T.StructType(
 )
 
 
+#: Pages that one task opens, and bytes of pages that go to Spark at once.
+PAGES_PER_TASK, BATCH_BYTES = 1000, 4 << 20
+
+
+def open_folder(spark: SparkSession, root: str) -> str | None:
+    """The path of ``root`` where it is a folder that tasks can open as files, else None.
+
+    Spark's own readers hold the status of each file in the driver, about a kilobyte, and deal a few
+    pages to a task, as each file counts as four megabytes. In a local or mounted folder the
+    tasks do the listing and the reading, so that neither grows in the driver.
+    """
+    if any(c in root for c in "{}[]*?\\"):
+        return None
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.getUri().getScheme() != "file" or not fs.exists(path) or not fs.getFileStatus(path).isDirectory():
+        return None
+    return fs.makeQualified(path).toUri().getPath()
+
+
 def list_keys(spark: SparkSession, root: str) -> DataFrame:
     """One row per JSON file under ``root``; no file content is read."""
+    folder = open_folder(spark, root)
+    if folder is not None:
+        return _keys_by_tasks(spark, folder)
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.json")
@@ -30,6 +56,48 @@ def list_keys(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def _keys_by_tasks(spark: SparkSession, folder: str) -> DataFrame:
+    """The same files as Spark's reader finds: one task looks into the folder, many into those below."""
+
+    def hidden(name: str) -> bool:
+        return name.startswith(".") or name.endswith("._COPYING_") or (name.startswith("_") and "=" not in name)
+
+    def within(top: str, deep: bool) -> Iterator[tuple[str, bool]]:
+        with os.scandir(top) as found:
+            for entry in found:
+                if hidden(entry.name):
+                    continue
+                if not entry.is_dir():
+                    if entry.name.endswith(".json"):
+                        yield os.fsencode(entry.path).decode("utf-8", "replace"), False
+                elif deep:
+                    yield from within(entry.path, deep)
+                else:
+                    yield entry.path, True
+
+    def listed(batches: Iterator[pa.RecordBatch], deep: bool) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple[str, bool]] = []
+
+        def batch() -> pa.RecordBatch:
+            paths, folders = zip(*rows) if rows else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(folders, pa.bool_())], ["path", "folder"])
+
+        for given in batches:
+            for path, is_folder in zip(given["path"].to_pylist(), given["folder"].to_pylist()):
+                for row in within(path, deep) if is_folder else [(path, False)]:
+                    rows.append(row)
+                    if len(rows) == 10_000:
+                        yield batch()
+                        rows.clear()
+        yield batch()
+
+    schema = "path string, folder boolean"
+    top = spark.range(0, 1, 1, 1).select(F.lit(folder).alias("path"), F.lit(True).alias("folder"))
+    found = top.mapInArrow(lambda batches: listed(batches, False), schema)
+    spread = found.repartition(4 * spark.sparkContext.defaultParallelism, "path")
+    return spread.mapInArrow(lambda batches: listed(batches, True), schema).select(F.concat(F.lit("file:"), "path").alias("key"))
+
+
 def decode_keys(df: DataFrame, key: str = "key") -> DataFrame:
     """Add ``operation``, ``snapshot_date`` and ``page`` decoded from a key.
 
@@ -91,6 +159,44 @@ def scan_pages(
     return pages.select("*", F.col("_metadata.file_name").alias("page_file"))
 
 
+def open_pages(keys: DataFrame, tasks: int) -> DataFrame:
+    """Pages by the keys of ``open_folder``'s files, in the shape of ``scan_pages``.
+
+    As many ``tasks`` open the files, stopping at a malformed one. Keys of one snapshot lie in few tasks.
+    """
+
+    def text(page: bytes) -> bytes:
+        encoding = json.detect_encoding(page)
+        return page if encoding == "utf-8" else page.decode(encoding).encode()
+
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names: list[str] = []
+        bodies: list[bytes] = []
+
+        def batch() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(bodies, pa.binary()).cast(pa.string())], ["page_file", "body"])
+
+        size = 0
+        for given in batches:
+            for key in given["key"].to_pylist():
+                with open(key.removeprefix("file:"), "rb") as page:
+                    bodies.append(text(page.read()))
+                names.append(key.rpartition("/")[2])
+                size += len(bodies[-1])
+                if size >= BATCH_BYTES:
+                    yield batch()
+                    names.clear()
+                    bodies.clear()
+                    size = 0
+        yield batch()
+
+    dealt = keys.repartitionByRange(tasks, "operation", "snapshot_date", "key").select("key")
+    bodies = dealt.mapInArrow(opened, "page_file string, body string")
+    # a file may hold one page or, as for Spark's reader, a list of them
+    pages = F.from_json("body", T.ArrayType(PAGE_SCHEMA), {"mode": "FAILFAST"})
+    return bodies.select(F.explode(pages).alias("_page"), "page_file").select("_page.*", "page_file")
+
+
 def parse_pages(
     df: DataFrame, body: str = "body", page_file: str = "page_file", mode: str = "FAILFAST"
 ) -> DataFrame:

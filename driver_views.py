@@ -7,8 +7,9 @@ import os
 import uuid
 from collections.abc import Iterator
 
+import pyarrow as pa
 from py4j.java_gateway import JavaObject
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -237,17 +238,24 @@ def land(pages_: DataFrame, root: str) -> None:
 def write_files(pages_: DataFrame, folder: str) -> None:
     """A file for each page name, a line for each of its rows, which are all in one task.
 
-    A file gets its name when it is whole, so that a task may be repeated.
+    A file gets its name when it is whole, so that a task may be repeated. Until then it is in a
+    folder of its task, as tasks that make files in one folder wait for each other.
     """
 
-    def write(rows: Iterator[Row]) -> None:
-        for name, of_name in itertools.groupby(rows, key=lambda r: r["page_file"]):
-            hidden = f"{folder}/.{name}-{uuid.uuid4().hex}"
-            with open(hidden, "w", encoding="utf-8", newline="") as out:
-                out.writelines(f"{r['body']}\n" for r in of_name)
-            os.replace(hidden, f"{folder}/{name}")
-
-    pages_.select("page_file", "body").sortWithinPartitions("page_file").foreachPartition(write)
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = f"{folder}/.{uuid.uuid4().hex}"
+        os.mkdir(own)
+        rows = (row for b in batches for row in zip(b["page_file"].to_pylist(), b["body"].cast(pa.binary())))
+        for name, of_name in itertools.groupby(rows, key=lambda row: row[0]):
+            with open(f"{own}/{name}", "wb") as out:
+                for _, body in of_name:
+                    out.write(body.as_buffer() or b"")
+                    out.write(b"\n")
+            os.replace(f"{own}/{name}", f"{folder}/{name}")
+        os.rmdir(own)
+        yield pa.RecordBatch.from_arrays([pa.array([], pa.string())], ["page_file"])
+
+    pages_.select("page_file", "body").sortWithinPartitions("page_file").mapInArrow(write, "page_file string").count()
 
 
 def rename_files(pages_: DataFrame, root: str, fs: JavaObject) -> None:
